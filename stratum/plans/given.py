@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratum.session import prepare
+
 
 _DAY0, _NOON0 = "2024-05-05 00:00:00", "2024-05-05 12:00:00"
 
@@ -32,7 +34,7 @@ class GivenTables:
     """The given tables below one folder and the tables derived from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = prepare(spark), folder
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.schemas import empty, silver_schema
+from stratum.session import prepare
 
 _COMMIT = T.StructType([T.StructField("run", T.LongType()), T.StructField("label", T.StringType())])
 
 
 class SilverTable:
     def __init__(self, spark: SparkSession, folder: str, entity: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+        self.spark, self.folder = prepare(spark), folder.rstrip("/")
         self.schema = silver_schema(entity)
         self.keeps_history = "active" in self.schema.fieldNames()
 
