@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.money import cents, exact
-from stratum.operators.skew import HOT_ROWS, skew_join
+from stratum.operators.skew import HOT_ROWS, LOOK, find_hot, skew_join
 
 
 def cost_per_flavour(recipes: DataFrame, ingredients: DataFrame) -> DataFrame:
@@ -45,7 +45,9 @@ def sales_analytics(
     ingredients: DataFrame,
     *,
     unique_sales: bool = True,
+    sales_keys: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
+    look: float = LOOK,
 ) -> DataFrame:
     """Sales with an active customer, an active flavour and a cost; others are left out.
 
@@ -53,7 +55,8 @@ def sales_analytics(
     flavour's name and cost, so making those inputs distinct makes the result distinct and the
     wide result needs no shuffle of its own.  ``unique_sales`` says that the sales hold one row
     per transaction, as silver does.  Flavour names and costs are joined first: sales then meet
-    two lookups instead of three.
+    two lookups instead of three.  Hot customers and flavours are looked for in ``sales_keys``,
+    stored rows distributed like ``sales``, so that ``sales`` need not be computed for it.
     """
     fact = sales.select(
         "transaction_id", "customer_id", "flavour_id", "quantity_liters", "transaction_date", "amount_dollar"
@@ -65,9 +68,10 @@ def sales_analytics(
         flavours.where("active").select("flavour_id", F.col("name").alias("flavour_name")).distinct()
         .join(cost_per_flavour(recipes, ingredients), "flavour_id")
     )
-    joined = skew_join(
-        skew_join(fact, priced, ["flavour_id"], hot_rows=hot_rows), names, ["customer_id"], hot_rows=hot_rows
-    )
+    source = sales if sales_keys is None else sales_keys
+    hot_flavours, hot_customers = (find_hot(source, [k], hot_rows, look) for k in ("flavour_id", "customer_id"))
+    joined = skew_join(fact, priced, ["flavour_id"], "inner", hot_flavours)
+    joined = skew_join(joined, names, ["customer_id"], "inner", hot_customers)
     cost = exact("quantity_liters") * F.col("cost_per_liter")
     return joined.select(
         "transaction_id",

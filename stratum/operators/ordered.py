@@ -1,109 +1,101 @@
 """Neighbours and running totals along time, per key, when one key may hold most of the rows.
 
-Windows are partitioned by key *and* bucket.  Ordinary keys have one bucket; a hot key is cut
-into equal time slices, and what a slice needs from the slices before or after it travels in a
-summary with one row per slice.  The summary covers hot keys only, so it has at most
-``2 * rows / hot_rows`` rows and may be broadcast.
+Without hot keys these are plain windows.  A hot key is cut into equal time slices: windows are
+partitioned by key *and* slice, and what a slice needs from the slices before or after it
+travels in a summary with one row per slice of a hot key.  The summary has about
+``2 * rows / hot_rows`` rows, so it may be broadcast.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from stratum.operators.skew import HOT_ROWS
-
-BUCKET = "_bucket"
-
-
-def _micros(order: str) -> Column:
-    return F.unix_micros(F.col(order).cast("timestamp"))
+_SLICE = "_slice"
 
 
 class KeyedSequence:
-    """Rows per key in the order of one timestamp column, sliced where a key is hot."""
-
-    def __init__(self, rows: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS):
-        self.keys, self.order = list(keys), order
-        at = _micros(order)
-        slices = F.ceil(F.col("_n") / hot_rows)
-        # Equal widths from exact bounds: the slices come out the same if a lost task is run again.
-        self.hot = (
-            rows.groupBy(*keys)
-            .agg(F.count("*").alias("_n"), F.min(at).alias("_start"), F.max(at).alias("_end"))
-            .where(F.col("_n") > hot_rows)
-            .select(
-                *keys,
-                "_start",
-                F.greatest(F.ceil((F.col("_end") - F.col("_start") + 1) / slices), F.lit(1)).alias("_width"),
+    """Rows per key in the order of one timestamp column; ``hot`` is from ``find_hot_ranges``."""
+
+    def __init__(self, rows: DataFrame, keys: Sequence[str], order: str, hot: DataFrame | None):
+        self.keys, self.order, self.hot = list(keys), order, hot
+        self.rows, self.partition = rows, list(keys)
+        if hot is not None:
+            at = F.unix_micros(F.col(order).cast("timestamp"))
+            self.partition.append(_SLICE)
+            self.rows = (
+                rows.join(F.broadcast(hot), self.keys, "left")
+                .withColumn(_SLICE, F.coalesce(F.floor((at - F.col("_start")) / F.col("_width")), F.lit(0)))
+                .drop("_start", "_width")
             )
-        )
-        self.rows = (
-            rows.join(F.broadcast(self.hot), self.keys, "left")
-            .withColumn(BUCKET, F.coalesce(F.floor((at - F.col("_start")) / F.col("_width")), F.lit(0)))
-            .drop("_start", "_width")
-        )
 
-    @property
-    def partition(self) -> list[str]:
-        return [*self.keys, BUCKET]
-
-    def carry(self, rows: DataFrame, summary: Column, carried) -> DataFrame:
-        """``_carry`` per slice of a hot key: ``carried(window over slices)`` of ``_summary``."""
-        slices = Window.partitionBy(*self.keys).orderBy(BUCKET)
-        return (
+    def _window(self, *ties: str) -> WindowSpec:
+        return Window.partitionBy(*self.partition).orderBy(self.order, *ties)
+
+    def _scan(
+        self,
+        rows: DataFrame,
+        name: str,
+        inside: Column,
+        summary: Column,
+        carried: Callable[[WindowSpec], Column],
+        combine: Callable[[Column, Column], Column],
+    ) -> DataFrame:
+        """``inside`` within slices, combined with what ``carried`` brings over from other slices."""
+        rows = rows.withColumn(name, inside)
+        if self.hot is None:
+            return rows
+        carry = (
             rows.join(F.broadcast(self.hot.select(*self.keys)), self.keys)
             .groupBy(*self.partition)
             .agg(summary.alias("_summary"))
-            .select(*self.partition, carried(slices).alias("_carry"))
+            .select(*self.partition, carried(Window.partitionBy(*self.keys).orderBy(_SLICE)).alias("_carry"))
         )
-
-    def with_carry(self, rows: DataFrame, summary: Column, carried, name: str) -> DataFrame:
-        carry = self.carry(rows, summary, carried).withColumnRenamed("_carry", name)
-        return rows.join(F.broadcast(carry), self.partition, "left")
+        joined = rows.join(F.broadcast(carry), self.partition, "left")
+        return joined.withColumn(name, combine(F.col(name), F.col("_carry"))).drop("_carry")
 
     def previous(self, rows: DataFrame, value: Column, name: str) -> DataFrame:
-        """``value`` of the row before, NULL at the start; ``value`` itself must not be NULL."""
-        inside = F.lag(value).over(Window.partitionBy(*self.partition).orderBy(self.order))
-        rows = rows.withColumn(name, inside)
-        rows = self.with_carry(
-            rows, F.max_by(value, F.col(self.order)), lambda w: F.lag("_summary").over(w), "_before"
+        """``value``, which is never NULL, of the row before; NULL at the start."""
+        return self._scan(
+            rows,
+            name,
+            F.lag(value).over(self._window()),
+            F.max_by(value, F.col(self.order)),
+            lambda slices: F.lag("_summary").over(slices),
+            F.coalesce,
         )
-        return rows.withColumn(name, F.coalesce(name, "_before")).drop("_before")
 
     def next(self, rows: DataFrame, name: str) -> DataFrame:
-        """Order value of the row after, NULL at the end."""
-        inside = F.lead(self.order).over(Window.partitionBy(*self.partition).orderBy(self.order))
-        rows = rows.withColumn(name, inside)
-        rows = self.with_carry(rows, F.min(self.order), lambda w: F.lead("_summary").over(w), "_after")
-        return rows.withColumn(name, F.coalesce(name, "_after")).drop("_after")
-
-    def max_before(self, rows: DataFrame, column: str, name: str, ties: Sequence[str] = ()) -> DataFrame:
-        """Largest ``column`` over all earlier rows; ``ties`` orders rows of the same time."""
-        inside = Window.partitionBy(*self.partition).orderBy(self.order, *ties)
-        rows = rows.withColumn(
-            name, F.max(column).over(inside.rowsBetween(Window.unboundedPreceding, -1))
+        """Time of the row after; NULL at the end."""
+        return self._scan(
+            rows,
+            name,
+            F.lead(self.order).over(self._window()),
+            F.min(self.order),
+            lambda slices: F.lead("_summary").over(slices),
+            F.coalesce,
         )
-        rows = self.with_carry(
+
+    def max_before(self, rows: DataFrame, column: str, name: str, *ties: str) -> DataFrame:
+        """Largest ``column`` over all earlier rows; ``ties`` orders rows of one time."""
+        return self._scan(
             rows,
+            name,
+            F.max(column).over(self._window(*ties).rowsBetween(Window.unboundedPreceding, -1)),
             F.max(column),
-            lambda w: F.max("_summary").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-            "_before",
+            lambda slices: F.max("_summary").over(slices.rowsBetween(Window.unboundedPreceding, -1)),
+            F.greatest,
         )
-        return rows.withColumn(name, F.greatest(name, "_before")).drop("_before")
 
     def running_sum(self, rows: DataFrame, column: str, name: str) -> DataFrame:
         """Sum of ``column`` up to and including the row; one row per key and time."""
-        inside = Window.partitionBy(*self.partition).orderBy(self.order)
-        rows = rows.withColumn(
-            name, F.sum(column).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        )
-        rows = self.with_carry(
+        return self._scan(
             rows,
+            name,
+            F.sum(column).over(self._window().rowsBetween(Window.unboundedPreceding, Window.currentRow)),
             F.sum(column),
-            lambda w: F.sum("_summary").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-            "_before",
+            lambda slices: F.sum("_summary").over(slices.rowsBetween(Window.unboundedPreceding, -1)),
+            lambda inside, carry: inside + F.coalesce(carry, F.lit(0)),
         )
-        return rows.withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0))).drop("_before")

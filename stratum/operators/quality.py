@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.operators.ordered import KeyedSequence
-from stratum.operators.skew import HOT_ROWS, no_null
+from stratum.operators.skew import HOT_ROWS, LOOK, find_hot_ranges, no_null
 from stratum.specs import SPECS
 
 INFO, WARNING, ERROR = "info", "warning", "error"
@@ -142,7 +142,9 @@ def unprocessed(staging: DataFrame, entity: str) -> DataFrame:
 # --- validity overlap ---------------------------------------------------------------------
 
 
-def overlap_keys(silver: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def overlap_keys(
+    silver: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, look: float = LOOK
+) -> DataFrame:
     """Keys with versions that begin before an earlier one has ended, and how many do.
 
     Current versions count as unending here.  One window pass; nothing is joined to itself.
@@ -150,19 +152,20 @@ def overlap_keys(silver: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROW
     rows = silver.where(no_null([*keys, "valid_from"])).select(
         *keys, "valid_from", F.coalesce(F.col("valid_to"), _forever()).alias("_end")
     )
-    sequence = KeyedSequence(rows, keys, "valid_from", hot_rows)
-    seen = sequence.max_before(sequence.rows, "_end", "_end_before", ties=["_end"])
+    hot = find_hot_ranges(rows, keys, "valid_from", hot_rows, look)
+    sequence = KeyedSequence(rows, keys, "valid_from", hot)
+    seen = sequence.max_before(sequence.rows, "_end", "_end_before", "_end")
     return seen.where("valid_from < _end_before").groupBy(*keys).agg(F.count("*").alias("n"))
 
 
-def _rank_sums(marks: DataFrame, groups: Sequence[str], hot_rows: int) -> DataFrame:
+def _rank_sums(marks: DataFrame, groups: Sequence[str], hot: DataFrame | None) -> DataFrame:
     """For points and queries on one time axis per group: ``points``, ``queries`` and
     ``not_after``, the number of (query, point) pairs whose point is not after the query.
 
     ``marks`` has the group columns, ``at``, ``points`` and ``queries``.
     """
     per_time = marks.groupBy(*groups, "at").agg(F.sum("points").alias("points"), F.sum("queries").alias("queries"))
-    sequence = KeyedSequence(per_time, groups, "at", hot_rows)
+    sequence = KeyedSequence(per_time, groups, "at", hot)
     ranked = sequence.running_sum(sequence.rows, "points", "_so_far")
     wide = lambda c: F.col(c).cast("decimal(19,0)")
     return ranked.groupBy(*groups).agg(
@@ -172,7 +175,9 @@ def _rank_sums(marks: DataFrame, groups: Sequence[str], hot_rows: int) -> DataFr
     )
 
 
-def overlap_pairs(silver: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def overlap_pairs(
+    silver: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, look: float = LOOK
+) -> DataFrame:
     """Ordered pairs of closed versions of one key that overlap and are not the same interval.
 
     The pairs are counted, never formed.  Two versions with a proper order of dates fail to
@@ -190,7 +195,9 @@ def overlap_pairs(silver: DataFrame, keys: Sequence[str], hot_rows: int = HOT_RO
     # begins, minus the pairs within groups of identical intervals (a version with itself too).
     ends = proper.select(*keys, F.col("valid_to").alias("at"), one.alias("points"), zero.alias("queries"))
     begins = proper.select(*keys, F.col("valid_from").alias("at"), zero.alias("points"), one.alias("queries"))
-    plain = _rank_sums(ends.unionByName(begins), keys, hot_rows).select(
+    marks = ends.unionByName(begins)
+    hot = find_hot_ranges(marks, keys, "at", hot_rows, look)
+    plain = _rank_sums(marks, keys, hot).select(
         (F.col("points") * F.col("queries") - 2 * F.col("not_after")).cast("decimal(38,0)").alias("n")
     )
     same = (
@@ -220,7 +227,10 @@ def overlap_pairs(silver: DataFrame, keys: Sequence[str], hot_rows: int = HOT_RO
 
     inside = prefixes(suspects.withColumn("_at", F.col("valid_to")), micros("valid_from"), 0, "points")
     asking = prefixes(reversed_.withColumn("_at", F.col("valid_from")), micros("valid_to"), 1, "queries")
-    enclosing = _rank_sums(inside.unionByName(asking), [*keys, "_level", "_node"], hot_rows).select(
+    marks, groups = inside.unionByName(asking), [*keys, "_level", "_node"]
+    # A prefix can only be hot within a hot key.
+    hot = None if hot is None else find_hot_ranges(marks, groups, "at", hot_rows, look)
+    enclosing = _rank_sums(marks, groups, hot).select(
         (2 * (F.col("points") * F.col("queries") - F.col("not_after"))).cast("decimal(38,0)").alias("n")
     )
     return together([plain, same, enclosing]).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.operators.dedupe import latest_by_load_time, pending
-from stratum.operators.skew import HOT_ROWS, any_null, hot_keys, no_null, skew_join
+from stratum.operators.skew import HOT_ROWS, LOOK, any_null, find_hot, no_null, skew_join
 from stratum.specs import MergeSpec
 
 
@@ -61,7 +61,7 @@ def changed_pairs(spec: MergeSpec, active: DataFrame, rows: DataFrame, *, null_s
     ``active`` must hold one row per key, as a clean silver table does.
     """
     current = active.select(*spec.keys, *[F.col(c).alias(f"_old_{c}") for c in spec.tracked])
-    joined = skew_join(rows, current, spec.keys, "inner")
+    joined = skew_join(rows, current, spec.keys, "inner", find_hot(rows, spec.keys))
     if null_safe:
         differs = any_of([~F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in spec.tracked])
     else:
@@ -85,6 +85,7 @@ class LiteralMerge:
         *,
         broadcast_pending: bool = False,
         hot_rows: int = HOT_ROWS,
+        look: float = LOOK,
     ):
         if spec.style not in "ABCD":
             raise ValueError(f"{spec.entity} keeps no history")
@@ -92,7 +93,23 @@ class LiteralMerge:
         self.keys = list(spec.keys)
         self.active = active
         self.broadcast_pending = broadcast_pending
-        self.hot_rows = hot_rows
+        self.hot_rows, self.look = hot_rows, look
+
+    # --- hot keys -------------------------------------------------------------------------
+
+    @cached_property
+    def hot_staging(self) -> DataFrame | None:
+        """Hot keys among the staging rows, which bound those among the candidates."""
+        return find_hot(self.staging, self.keys, self.hot_rows, self.look)
+
+    @cached_property
+    def hot_candidates(self) -> DataFrame | None:
+        return None if self.spec.style == "B" else self.hot_staging
+
+    @cached_property
+    def hot_active(self) -> DataFrame | None:
+        """Hot keys among the active rows: literal runs may leave many active rows per key."""
+        return find_hot(self.active, self.keys, self.hot_rows, self.look)
 
     # --- candidates -----------------------------------------------------------------------
 
@@ -103,7 +120,7 @@ class LiteralMerge:
             to_silver_names(self.spec, pending(self.staging))
             .where(no_null(self.keys))
             .groupBy(*self.keys)
-            .agg(F.max("inserted_at").alias("_newest"), F.count("*").alias("_rows"))
+            .agg(F.max("inserted_at").alias("_newest"))
         )
 
     @cached_property
@@ -114,8 +131,7 @@ class LiteralMerge:
             return to_silver_names(spec, latest_by_load_time(self.staging, spec.keys))
         if spec.style == "C":
             rows = to_silver_names(spec, self.staging).where(no_null(self.keys))
-            hot = hot_keys(self.newest_load, self.keys, "_rows", self.hot_rows)
-            at_newest = skew_join(rows, self.newest_load.drop("_rows"), self.keys, "inner", hot=hot)
+            at_newest = skew_join(rows, self.newest_load, self.keys, "inner", self.hot_staging)
             return at_newest.where("inserted_at = _newest").drop("_newest")
         return to_silver_names(spec, pending(self.staging))
 
@@ -156,8 +172,8 @@ class LiteralMerge:
         )
         new_side = F.col("_new_side")
         aggregates = [
-            F.count_if(new_side).alias("_pending_rows"),
-            F.count_if(~new_side).alias("_active_rows"),
+            F.max(new_side).alias("_pending"),
+            F.max(~new_side).alias("_seen"),
             F.max("inserted_at").alias("_newest"),
             F.max(~new_side & no_null(tracked)).alias("_active_complete"),
         ]
@@ -175,29 +191,28 @@ class LiteralMerge:
         compared with each other.
         """
         tracked = self.spec.tracked
-        unseen = F.col("_active_rows") == 0
+        unseen = ~F.col("_seen")
         if self.spec.style == "A":
             # NOT IN over a set that holds a NULL is never true.
             unseen = unseen & (self.active.agg(F.count_if(any_null(self.keys))).scalar() == 0)
-        facts = self.key_stats.where("_pending_rows > 0").withColumn("_unseen", unseen)
-        for c in tracked:
-            for end in ("lo", "hi"):
-                facts = facts.withColumn(
-                    f"_{end}_{c}", F.when(F.col("_unseen"), F.col(f"_new_{end}_{c}")).otherwise(F.col(f"_old_{end}_{c}"))
-                )
+        known = self.key_stats.where("_pending").withColumn("_unseen", unseen)
+        against = {
+            f"_{end}_{c}": F.when(F.col("_unseen"), F.col(f"_new_{end}_{c}")).otherwise(F.col(f"_old_{end}_{c}"))
+            for c in tracked
+            for end in ("lo", "hi")
+        }
         changed = any_of(
-            [F.col(f"_new_lo_{c}") != F.col(f"_hi_{c}") for c in tracked]
-            + [F.col(f"_new_hi_{c}") != F.col(f"_lo_{c}") for c in tracked]
+            [F.col(f"_new_lo_{c}") != against[f"_hi_{c}"] for c in tracked]
+            + [F.col(f"_new_hi_{c}") != against[f"_lo_{c}"] for c in tracked]
+        )
+        return known.select(
+            *self.keys,
+            "_unseen",
+            "_newest",
+            "_active_complete",
+            *[column.alias(name) for name, column in against.items()],
+            changed.alias("_changed"),
         )
-        return facts.withColumn("_changed", changed)
-
-    @cached_property
-    def hot_pending(self) -> DataFrame:
-        return hot_keys(self.key_stats, self.keys, "_pending_rows", self.hot_rows)
-
-    @cached_property
-    def hot_active(self) -> DataFrame:
-        return hot_keys(self.key_stats, self.keys, "_active_rows", self.hot_rows)
 
     @cached_property
     def closings(self) -> DataFrame:
@@ -213,7 +228,7 @@ class LiteralMerge:
         ranges = [F.col(f"_{end}_{c}") for c in tracked for end in ("lo", "hi")]
         lookup = self.facts.select(*self.keys, "_unseen", "_active_complete", *ranges)
         rows = skew_join(
-            self.candidates.where(no_null(self.keys)), lookup, self.keys, "inner", hot=self.hot_pending
+            self.candidates.where(no_null(self.keys)), lookup, self.keys, "inner", self.hot_candidates
         )
         differs = any_of([F.col(c) != F.col(f"_{end}_{c}") for c in tracked for end in ("lo", "hi")])
         return rows.withColumn("_changed", differs).select(
@@ -225,12 +240,12 @@ class LiteralMerge:
         """Candidates with a complete key and what happens to them: ``_unseen``, ``_changed``,
         and ``_close``, the end of the key's active versions if it has changed."""
         if self.spec.style == "D":
-            return skew_join(self._compared, self.closings, self.keys, "left", hot=self.hot_pending)
+            return skew_join(self._compared, self.closings, self.keys, "left", self.hot_candidates)
         lookup = self.facts.select(
             *self.keys, "_unseen", "_changed", F.when(F.col("_changed"), F.col("_newest")).alias("_close")
         )
         return skew_join(
-            self.candidates.where(no_null(self.keys)), lookup, self.keys, "inner", hot=self.hot_pending
+            self.candidates.where(no_null(self.keys)), lookup, self.keys, "inner", self.hot_candidates
         )
 
     # --- the steps ------------------------------------------------------------------------
@@ -285,15 +300,13 @@ class LiteralMerge:
             )
             marked = self.staging.join(done, "row_id", "left").withColumn("_hit", F.col("_done") & (status == 0))
         elif spec.style == "A":
-            marked = skew_join(self.staging, self.closings, self.keys, "left", hot=self.hot_pending).withColumn(
+            marked = skew_join(self.staging, self.closings, self.keys, "left", self.hot_staging).withColumn(
                 "_hit", F.col("_close").isNotNull() & (status == 0)
             )
         else:
-            hot = hot_keys(self.newest_load, self.keys, "_rows", self.hot_rows)
             hit = F.col("inserted_at") == F.col("_newest")
-            marked = skew_join(
-                self.staging, self.newest_load.drop("_rows"), self.keys, "left", hot=hot
-            ).withColumn("_hit", hit & (status == 0) if spec.style == "B" else hit)
+            marked = skew_join(self.staging, self.newest_load, self.keys, "left", self.hot_staging).withColumn(
+                "_hit", hit & (status == 0) if spec.style == "B" else hit)
         return marked.withColumn("merge_status", F.when(F.col("_hit"), 1).otherwise(status)).select(
             *self.staging.columns
         )
@@ -304,7 +317,7 @@ class LiteralMerge:
     def _active_with_end(self) -> DataFrame:
         if self.broadcast_pending:
             return self.active.join(F.broadcast(self.closings), self.keys, "left")
-        return skew_join(self.active, self.closings, self.keys, "left", hot=self.hot_active)
+        return skew_join(self.active, self.closings, self.keys, "left", self.hot_active)
 
     def _closed_active(self) -> DataFrame:
         return self._ended(self._active_with_end.where("_close IS NOT NULL"))

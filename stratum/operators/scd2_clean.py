@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from stratum.operators.dedupe import pending
 from stratum.operators.ordered import KeyedSequence
 from stratum.operators.scd2 import split_history, to_silver_names
-from stratum.operators.skew import HOT_ROWS, any_null, no_null, skew_join
+from stratum.operators.skew import HOT_ROWS, LOOK, any_null, find_hot, find_hot_ranges, no_null, skew_join
 from stratum.specs import MergeSpec
 
 # Row id of the version that is active already; staging ids start above it.
@@ -30,8 +30,17 @@ _ACTIVE_ID = -1
 class CleanMerge:
     """One clean merge of ``staging`` into the active rows of a silver table, lazily."""
 
-    def __init__(self, spec: MergeSpec, active: DataFrame, staging: DataFrame, *, hot_rows: int = HOT_ROWS):
-        self.spec, self.active, self.hot_rows = spec, active, hot_rows
+    def __init__(
+        self,
+        spec: MergeSpec,
+        active: DataFrame,
+        staging: DataFrame,
+        *,
+        hot_rows: int = HOT_ROWS,
+        look: float = LOOK,
+    ):
+        self.spec, self.active = spec, active
+        self.hot_rows, self.look = hot_rows, look
         self.keys, self.tracked = list(spec.keys), list(spec.tracked)
         self._pending = pending(staging)
 
@@ -43,7 +52,8 @@ class CleanMerge:
         """Pending rows next to the start of their key's active version."""
         rows = to_silver_names(self.spec, self._pending).where(no_null(self.keys))
         since = self.active.groupBy(*self.keys).agg(F.max("valid_from").alias("_since"))
-        return skew_join(rows, since, self.keys, "left", hot_rows=self.hot_rows)
+        hot = find_hot(self._pending, self.keys, self.hot_rows, self.look)
+        return skew_join(rows, since, self.keys, "left", hot)
 
     def late(self) -> DataFrame:
         """Pending rows that are not newer than the active version of their key."""
@@ -64,7 +74,9 @@ class CleanMerge:
             *self.keys, *self.tracked, "valid_from", "load_timestamp", "source_date",
             F.lit(_ACTIVE_ID).cast("long").alias("row_id"),
         )
-        timeline = KeyedSequence(current.unionByName(fresh), self.keys, "valid_from", self.hot_rows)
+        times = self._pending.select(*self.keys, F.col("inserted_at").alias("valid_from"))
+        hot = find_hot_ranges(times, self.keys, "valid_from", self.hot_rows, self.look)
+        timeline = KeyedSequence(current.unionByName(fresh), self.keys, "valid_from", hot)
         last_of_time = Window.partitionBy(*timeline.partition, "valid_from").orderBy(F.col("row_id").desc())
         states = timeline.rows.withColumn("_rank", F.row_number().over(last_of_time)).where("_rank = 1").drop("_rank")
         state = F.struct(*self.tracked)

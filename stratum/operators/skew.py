@@ -1,4 +1,4 @@
-"""Joins and splits that stay balanced when one key holds a large share of the rows."""
+"""Joins that stay balanced when one key holds a large share of the rows."""
 
 from __future__ import annotations
 
@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 2_000_000
 
+# Share of the rows looked at to find such keys.  Which keys are found decides how the work is
+# spread and never what comes out, so an estimate is enough; a hot key has 20,000 rows in it.
+LOOK = 0.01
+
 _SALTS, _SALT = "_salts", "_salt"
 
 
@@ -24,58 +28,69 @@ def no_null(columns: Sequence[str]) -> Column:
     return ~any_null(columns)
 
 
-def hot_keys(counted: DataFrame, keys: Sequence[str], count: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys whose counted rows exceed ``hot_rows``, with the number of salts each one gets.
+def _estimate(rows: DataFrame, keys: Sequence[str], hot_rows: int, look: float, *more: Column) -> DataFrame | None:
+    """Hot keys with their estimated ``_n``, as a local table; None if there are none.
 
-    At most ``total rows / hot_rows`` keys can qualify, which bounds what is broadcast.
+    At most about ``rows / hot_rows`` keys can be hot, which bounds what reaches the driver and
+    what is broadcast afterwards.  The list is fixed in the plan, so a task that is run again
+    spreads its rows as before.
     """
-    return counted.where(F.col(count) > hot_rows).select(
-        *keys, F.ceil(F.col(count) / hot_rows).cast("int").alias(_SALTS)
+    seen = rows.sample(fraction=look, seed=7) if look < 1 else rows
+    found = (
+        seen.groupBy(*keys)
+        .agg((F.count("*") / look).alias("_n"), *more)
+        .where(F.col("_n") > hot_rows)
     )
+    hot = found.collect()
+    return rows.sparkSession.createDataFrame(hot, found.schema) if hot else None
+
+
+def find_hot(
+    rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, look: float = LOOK
+) -> DataFrame | None:
+    """Hot keys of ``rows`` and the number of salts each one gets, or None."""
+    hot = _estimate(rows.select(*keys), keys, hot_rows, look)
+    return None if hot is None else hot.select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias(_SALTS))
 
 
-def count_hot(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``hot_keys`` straight from the rows: partial counts leave each map task, not rows."""
-    return hot_keys(rows.groupBy(*keys).agg(F.count("*").alias("_rows")), keys, "_rows", hot_rows)
+def find_hot_ranges(
+    rows: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS, look: float = LOOK
+) -> DataFrame | None:
+    """Hot keys of ``rows`` with the start and width of equal slices of a timestamp column, or None."""
+    at = F.unix_micros(F.col(order).cast("timestamp"))
+    hot = _estimate(
+        rows.select(*keys, order), keys, hot_rows, look, F.min(at).alias("_start"), F.max(at).alias("_end")
+    )
+    if hot is None:
+        return None
+    width = F.ceil((F.col("_end") - F.col("_start") + 1) / F.ceil(F.col("_n") / hot_rows))
+    return hot.select(*keys, "_start", F.greatest(width, F.lit(1)).alias("_width"))
 
 
 def skew_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    *,
-    hot: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str, hot: DataFrame | None
 ) -> DataFrame:
     """Join many ``rows`` per key with the few ``lookup`` rows of the key.
 
-    Rows of a hot key get a salt from their own content and the lookup rows of that key are
-    repeated once per salt, so the key spreads over tasks; every other key has one salt and is
-    joined as usual.  Rows with a NULL key match nothing and are spread freely.
-    ``how`` must keep or drop ``rows`` only: inner, left, left_semi or left_anti.
+    Without hot keys this is a plain join.  Otherwise rows of a hot key get a salt from their
+    own content and the lookup rows of that key are repeated once per salt, so the key spreads
+    over tasks; every other key has one salt.  Rows with a NULL in the key match nothing and
+    are spread freely.  ``how`` must keep or drop ``rows`` only.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join does not support {how}")
     keys = list(keys)
     if hot is None:
-        hot = count_hot(rows, keys, hot_rows)
+        return rows.join(lookup, keys, how)
     hot = F.broadcast(hot)
     content = F.xxhash64(*[F.col(c) for c in rows.columns])
-    salted = (
-        rows.join(hot, keys, "left")
-        .withColumn(
-            _SALT,
-            F.when(any_null(keys), F.pmod(content, F.lit(2**31 - 1)))
-            .when(F.col(_SALTS).isNotNull(), F.pmod(content, F.col(_SALTS)))
-            .otherwise(0)
-            .cast("int"),
-        )
-        .drop(_SALTS)
-    )
-    repeated = (
-        lookup.join(hot, keys, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)))
-        .drop(_SALTS)
+    salt = (
+        F.when(any_null(keys), F.pmod(content, F.lit(2**31 - 1)))
+        .when(F.col(_SALTS).isNotNull(), F.pmod(content, F.col(_SALTS)))
+        .otherwise(0)
+        .cast("int")
     )
+    salted = rows.join(hot, keys, "left").withColumn(_SALT, salt).drop(_SALTS)
+    repeats = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1))
+    repeated = lookup.join(hot, keys, "left").withColumn(_SALT, repeats).drop(_SALTS)
     return salted.join(repeated, [*keys, _SALT], how).drop(_SALT)

@@ -7,14 +7,13 @@ changed, unseen or without a key follows from business columns, not from ids.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratum.session import prepare
 
-
 _DAY0, _NOON0 = "2024-05-05 00:00:00", "2024-05-05 12:00:00"
 
 
@@ -36,11 +35,13 @@ class GivenTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = prepare(spark), folder
 
+    @cache
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     # --- shared pieces --------------------------------------------------------------------
 
+    @cache
     def _located(self, name: str, nation_key: str) -> DataFrame:
         return (
             self.table(name)
@@ -79,6 +80,7 @@ class GivenTables:
     def _version(column: str) -> Column:
         return F.concat(F.col(column), F.lit("_v"), F.col("b").cast("string"))
 
+    @cache
     def _lines(self) -> DataFrame:
         """``lineitem`` with ``line_id``: its order and line number repeat, the id does not."""
         repeat = F.row_number().over(
@@ -94,6 +96,7 @@ class GivenTables:
 
     # --- simple keys ----------------------------------------------------------------------
 
+    @cache
     def customers_silver(self) -> DataFrame:
         return self._located("customer", "c_nationkey").select(
             F.col("c_custkey").alias("customer_id"),
@@ -103,6 +106,7 @@ class GivenTables:
             *self._day0_tail(F.col("c_acctbal") >= 0),
         )
 
+    @cache
     def customers_staging(self) -> DataFrame:
         segment, balance = F.col("c_mktsegment"), F.col("c_acctbal")
         return self._extracts(self._located("customer", "c_nationkey"), "c_custkey").select(
@@ -122,6 +126,7 @@ class GivenTables:
             *self._daily_lineage(),
         )
 
+    @cache
     def provider_silver(self) -> DataFrame:
         return self._located("supplier", "s_nationkey").select(
             F.col("s_suppkey").alias("provider_id"),
@@ -131,6 +136,7 @@ class GivenTables:
             *self._day0_tail(F.col("s_acctbal") >= 0),
         )
 
+    @cache
     def provider_staging(self) -> DataFrame:
         return self._extracts(self._located("supplier", "s_nationkey"), "s_suppkey").select(
             "row_id",
@@ -141,6 +147,7 @@ class GivenTables:
             *self._daily_lineage(),
         )
 
+    @cache
     def flavours_silver(self) -> DataFrame:
         return self.table("part").select(
             F.col("p_partkey").alias("flavour_id"),
@@ -149,6 +156,7 @@ class GivenTables:
             *self._day0_tail(F.col("p_size") > 5),
         )
 
+    @cache
     def flavours_staging(self) -> DataFrame:
         kind = F.col("p_type")
         return self._extracts(self.table("part"), "p_partkey").select(
@@ -163,6 +171,7 @@ class GivenTables:
             *self._daily_lineage(),
         )
 
+    @cache
     def rawmaterialtype_silver(self) -> DataFrame:
         return self.table("part").select(
             F.col("p_partkey").alias("raw_material_type_id"),
@@ -170,6 +179,7 @@ class GivenTables:
             *self._day0_tail(F.col("p_retailprice") >= 910),
         )
 
+    @cache
     def rawmaterialtype_staging(self) -> DataFrame:
         parts = self.table("part").withColumn("label", F.concat_ws(" ", "p_brand", "p_type"))
         return self._extracts(parts, "p_partkey").select(
@@ -179,6 +189,7 @@ class GivenTables:
             *self._daily_lineage(),
         )
 
+    @cache
     def ingredientsrawmaterial_silver(self) -> DataFrame:
         return self.table("orders").select(
             F.col("o_orderkey").alias("ingredient_rawmaterial_id"),
@@ -187,6 +198,7 @@ class GivenTables:
             *self._day0_tail(F.col("o_orderstatus") != "P"),
         )
 
+    @cache
     def ingredientsrawmaterial_staging(self) -> DataFrame:
         kind = F.substring("o_orderpriority", 1, 1).cast("long")
         return self._extracts(self.table("orders"), "o_orderkey").select(
@@ -208,11 +220,13 @@ class GivenTables:
             F.col("s_nationkey").cast("long").alias("provider_id"),
         ]
 
+    @cache
     def ingredients_silver(self) -> DataFrame:
         return self.table("supplier").select(
             *self._ingredient_columns(F.abs("s_acctbal") / 1000 + 0.01), *self._day0_tail(F.col("s_acctbal") >= 0)
         )
 
+    @cache
     def ingredients_staging(self) -> DataFrame:
         cost = F.abs("s_acctbal") / 1000 + 0.01
         dearer = _cases(cost, (F.col("s_acctbal") > 5000, cost + F.col("b")))
@@ -222,6 +236,7 @@ class GivenTables:
 
     # --- composite keys -------------------------------------------------------------------
 
+    @cache
     def recipes_silver(self) -> DataFrame:
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("recipe_id"),
@@ -232,6 +247,7 @@ class GivenTables:
             *self._day0_tail(F.col("l_linestatus") == "O"),
         )
 
+    @cache
     def recipes_staging(self) -> DataFrame:
         return self._extracts(self._lines(), "line_id").select(
             "row_id",
@@ -247,6 +263,7 @@ class GivenTables:
             *self._daily_lineage(),
         )
 
+    @cache
     def stocks_silver(self) -> DataFrame:
         """Deliveries per stock and flavour as history; a returned last delivery leaves none active."""
         in_time = Window.partitionBy("l_suppkey", "l_partkey").orderBy(
@@ -268,6 +285,7 @@ class GivenTables:
             F.col("l_shipdate").cast("date").alias("source_date"),
         )
 
+    @cache
     def stocks_staging(self) -> DataFrame:
         """The same deliveries counted again 30 days later; open ones have grown by one litre."""
         counted = F.expr("l_shipdate + INTERVAL '30' DAY")
@@ -285,6 +303,7 @@ class GivenTables:
 
     # --- sales ----------------------------------------------------------------------------
 
+    @cache
     def _sales(self) -> DataFrame:
         return self._lines().join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
 
@@ -302,6 +321,7 @@ class GivenTables:
             amount.alias("amount_dollar"),
         ]
 
+    @cache
     def salestransactions_staging(self) -> DataFrame:
         return self._sales().select(
             F.col("line_id").alias("row_id"),
@@ -312,6 +332,7 @@ class GivenTables:
             F.lit(0).alias("merge_status"),
         )
 
+    @cache
     def salestransactions_silver(self) -> DataFrame:
         """Sales of finished orders are known already, at half their price."""
         known = self._sales().where("line_repeat = 1 AND o_orderstatus = 'F'")
@@ -329,6 +350,7 @@ class GivenTables:
 
     # --- validity history for the overlap and date-order checks ----------------------------
 
+    @cache
     def user_history(self) -> DataFrame:
         """Each user's events as versions; purchases end an hour late, errors end before they begin."""
         following = F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))

@@ -73,6 +73,7 @@ def gold_sales(given: GivenTables) -> DataFrame:
         given.flavours_silver(),
         given.recipes_silver(),
         given.ingredients_silver(),
+        sales_keys=given.salestransactions_staging(),
     )
 
 
