@@ -20,9 +20,14 @@ def landing_name(path: Column) -> Column:
     return F.regexp_extract(path, _LANDING_NAME, 1)
 
 
+def file_path(path: Column) -> Column:
+    """Path in one spelling; the file sources do not agree on local ones."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
+
+
 def delivery_path(path: Column) -> Column:
     """Path of the delivered file, or of the folder its part files lie in."""
-    return F.regexp_replace(F.regexp_replace(path, "^file:/+", "file:///"), _DELIVERY, "$1")
+    return F.regexp_replace(file_path(path), _DELIVERY, "$1")
 
 
 def _part(name: Column, index: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.operators.dedupe import latest_sales
+from stratum.operators.dedupe import latest_sales, pending
 from stratum.specs import SPECS
 
 SALES = SPECS["salestransactions"]
@@ -36,11 +36,13 @@ def updates(silver: DataFrame, staging: DataFrame) -> DataFrame:
 def upsert(silver: DataFrame, staging: DataFrame) -> DataFrame:
     """Silver after the merge: every winner, plus the silver rows no winner replaces.
 
-    Both sides hold one row per transaction, so the anti join has no hot key, and a small
-    load lets the planner broadcast the winners and leave silver unshuffled.
+    Silver rows give way to any pending row of their transaction, so they meet the pending keys
+    and need no ranking.  Both sides of that join hold a transaction once, so it has no hot
+    key, and a small load lets the planner broadcast the keys and leave silver unshuffled.
     """
     best = winners(staging)
-    kept = silver.join(best.select("transaction_id"), "transaction_id", "left_anti")
+    replaced = pending(staging).select("transaction_id").distinct()
+    kept = silver.join(replaced, "transaction_id", "left_anti")
     return best.unionByName(kept.select(*best.columns))
 
 

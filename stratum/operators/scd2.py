@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.operators.dedupe import latest_by_load_time, pending
@@ -239,6 +239,9 @@ class LiteralMerge:
     def decided(self) -> DataFrame:
         """Candidates with a complete key and what happens to them: ``_unseen``, ``_changed``,
         and ``_close``, the end of the key's active versions if it has changed."""
+        if self.spec.style == "D" and self.hot_candidates is None:
+            ended = F.max(F.when(F.col("_changed"), F.col("inserted_at"))).over(Window.partitionBy(*self.keys))
+            return self._compared.withColumn("_close", ended)
         if self.spec.style == "D":
             return skew_join(self._compared, self.closings, self.keys, "left", self.hot_candidates)
         lookup = self.facts.select(
@@ -288,28 +291,29 @@ class LiteralMerge:
         equal = F.col("_changed") | (F.col("_close").isNull() & (F.col("_unseen") | F.col("_active_complete")))
         return no_null(self.spec.tracked) & equal
 
-    def marked(self) -> DataFrame:
-        """Staging with ``merge_status`` 1 on the rows the run counts as processed."""
-        spec, status = self.spec, F.col("merge_status")
-        if spec.style == "D":
+    def _hits(self) -> DataFrame:
+        """Staging with ``_hit`` on the rows the run counts as processed."""
+        waiting = F.col("merge_status") == 0
+        if self.spec.style == "D":
             done = (
                 self.decided.where(F.col("_changed") | self._unchanged_test)
                 .select("row_id")
                 .unionByName(self.keyless.select("row_id"))
-                .withColumn("_done", F.lit(True))
-            )
-            marked = self.staging.join(done, "row_id", "left").withColumn("_hit", F.col("_done") & (status == 0))
-        elif spec.style == "A":
-            marked = skew_join(self.staging, self.closings, self.keys, "left", self.hot_staging).withColumn(
-                "_hit", F.col("_close").isNotNull() & (status == 0)
+                .withColumn("_hit", F.lit(True))
             )
-        else:
-            hit = F.col("inserted_at") == F.col("_newest")
-            marked = skew_join(self.staging, self.newest_load, self.keys, "left", self.hot_staging).withColumn(
-                "_hit", hit & (status == 0) if spec.style == "B" else hit)
-        return marked.withColumn("merge_status", F.when(F.col("_hit"), 1).otherwise(status)).select(
-            *self.staging.columns
-        )
+            return self.staging.join(done, "row_id", "left").withColumn("_hit", F.col("_hit") & waiting)
+        if self.spec.style == "A":
+            ended = skew_join(self.staging, self.closings, self.keys, "left", self.hot_staging)
+            return ended.withColumn("_hit", F.col("_close").isNotNull() & waiting)
+        hit = F.col("inserted_at") == F.col("_newest")
+        dated = skew_join(self.staging, self.newest_load, self.keys, "left", self.hot_staging)
+        return dated.withColumn("_hit", hit & waiting if self.spec.style == "B" else hit)
+
+    def marked(self, *, pending_only: bool = False) -> DataFrame:
+        """Staging with ``merge_status`` 1 on the processed rows; on request only what was pending."""
+        rows = pending(self._hits()) if pending_only else self._hits()
+        status = F.when(F.col("_hit"), 1).otherwise(F.col("merge_status"))
+        return rows.withColumn("merge_status", status).select(*self.staging.columns)
 
     # --- the end state --------------------------------------------------------------------
 

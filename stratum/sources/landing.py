@@ -63,10 +63,12 @@ def parse_names(files: DataFrame, name: Column) -> DataFrame:
     )
 
 
-def manifest(files: DataFrame) -> DataFrame:
+def manifest(files: DataFrame, *, per_file: bool = False) -> DataFrame:
     """One row per delivery: its target table, lineage, and the reason if it cannot be loaded.
 
-    Files without a table or date part are not deliveries and are left out.
+    Files without a table or date part are not deliveries and are left out.  With ``per_file``
+    every part file of a delivery written by Spark stands for itself, as it must where files
+    arrive one by one.
     """
     named = files.withColumn("file_name", lf.landing_name(F.col("path")))
     parsed = parse_names(named, F.col("file_name"))
@@ -78,7 +80,7 @@ def manifest(files: DataFrame) -> DataFrame:
     )
     return (
         parsed.where("table_name IS NOT NULL AND date_text IS NOT NULL")
-        .withColumn("delivery", lf.delivery_path(F.col("path")))
+        .withColumn("delivery", lf.file_path(F.col("path")) if per_file else lf.delivery_path(F.col("path")))
         .groupBy("delivery", "file_name", "table_name", "origin_date", "batch_value")
         .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
         .withColumn("staging_table", F.concat(F.lit("dp_"), F.col("table_name"), F.lit("_staging")))
@@ -109,10 +111,13 @@ def probe(spark: SparkSession, deliveries: DataFrame, entity: str | None = None)
     rows = deliveries.where("reason IS NULL")
     if entity is not None:
         rows = rows.where(F.col("table_name") == entity)
-    found = []
-    for r in rows.select("delivery", "file_name", "table_name").orderBy("delivery").collect():
-        header = spark.read.option("header", True).option("recursiveFileLookup", True).csv(r.delivery).columns
-        found.append(Delivery(r.delivery, r.file_name, r.table_name, tuple(header)))
+    found, headers = [], {}
+    chosen = rows.select("delivery", "file_name", "table_name", lf.delivery_path(F.col("delivery")).alias("whole"))
+    for r in chosen.orderBy("delivery").collect():
+        if r.whole not in headers:
+            reader = spark.read.option("header", True).option("recursiveFileLookup", True)
+            headers[r.whole] = tuple(reader.csv(r.delivery).columns)
+        found.append(Delivery(r.delivery, r.file_name, r.table_name, headers[r.whole]))
     return found
 
 
@@ -121,7 +126,9 @@ def missing_columns(delivery: Delivery) -> list[str]:
     return [c for c in LANDING[delivery.entity].fieldNames() if c not in present]
 
 
-def scan(spark: SparkSession, entity: str, deliveries: Iterable[Delivery]) -> DataFrame:
+def scan(
+    spark: SparkSession, entity: str, deliveries: Iterable[Delivery], *, per_file: bool = False
+) -> DataFrame:
     """Declared columns of one entity as text, picked by header name, with the delivery path.
 
     A CSV schema binds by position, so deliveries are read in one scan per column order.
@@ -146,7 +153,7 @@ def scan(spark: SparkSession, entity: str, deliveries: Iterable[Delivery]) -> Da
         scans.append(
             raw.select(
                 *[F.col(f"c{positions[n]}").alias(n) for n in names],
-                lf.delivery_path(F.col("_metadata.file_path")).alias("delivery"),
+                (lf.file_path if per_file else lf.delivery_path)(F.col("_metadata.file_path")).alias("delivery"),
             )
         )
     if not scans:
@@ -223,10 +230,12 @@ def load(
     entity: str,
     loaded_at: datetime,
     existing: DataFrame | None = None,
+    *,
+    per_file: bool = False,
 ) -> Load:
     """All loadable deliveries of one entity in one plan; a bad delivery does not stop the rest."""
     found = probe(spark, deliveries, entity)
-    raw = scan(spark, entity, found)
+    raw = scan(spark, entity, found, per_file=per_file)
     rows = with_row_ids(
         with_lineage(reject_bad(raw, entity, deliveries=len(found)), entity, loaded_at), entity, existing
     )

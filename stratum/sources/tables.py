@@ -1,13 +1,13 @@
-"""Silver tables on plain parquet that a merge replaces as a whole.
+"""Staging and silver tables of one entity on plain parquet.
 
-    <folder>/runs/run=<n>/kind=current    active rows after run n
-    <folder>/runs/run=<n>/kind=history    versions run n closed
-    <folder>/commits                      one row per committed run
+    <folder>/<table>/run=<n>/kind=current    open rows after run n: pending staging, active silver
+    <folder>/<table>/run=<n>/kind=settled    rows run n settled: processed staging, closed versions
+    <folder>/commits                         one row per committed run: the newest run of each table
 
-A merge reads the newest committed ``current`` and writes the next run beside it in one pass, so
-no path is overwritten while it is read and closed history is never rewritten.  Readers see a
-run only once its commit row is there; a run that failed half-way is written again under its
-number, and input that has been committed is skipped.
+A run reads the newest committed current rows and writes the next ones beside them, so no path
+is overwritten while it is read and settled rows are never rewritten.  Both tables of a run
+become visible together, with its commit row.  A run that failed half-way is written again
+under its number; input that has been committed (same label) is skipped.  One writer per entity.
 """
 
 from __future__ import annotations
@@ -17,17 +17,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.schemas import empty, silver_schema
+from stratum.schemas import empty, silver_schema, staging_schema
 from stratum.session import prepare
 
-_COMMIT = T.StructType([T.StructField("run", T.LongType()), T.StructField("label", T.StringType())])
+_COMMIT = T.StructType(
+    [
+        T.StructField("run", T.LongType()),
+        T.StructField("label", T.StringType()),
+        T.StructField("staging", T.LongType()),
+        T.StructField("silver", T.LongType()),
+    ]
+)
 
+STAGING, SILVER = "staging", "silver"
 
-class SilverTable:
+
+class EntityStore:
     def __init__(self, spark: SparkSession, folder: str, entity: str):
-        self.spark, self.folder = prepare(spark), folder.rstrip("/")
-        self.schema = silver_schema(entity)
-        self.keeps_history = "active" in self.schema.fieldNames()
+        self.spark, self.folder = prepare(spark), f"{folder.rstrip('/')}/{entity}"
+        self.schemas = {STAGING: staging_schema(entity), SILVER: silver_schema(entity)}
 
     def commits(self) -> DataFrame:
         try:
@@ -37,49 +45,56 @@ class SilverTable:
                 raise
             return empty(self.spark, _COMMIT)
 
-    def last_run(self) -> int:
-        """Number of the newest committed run, 0 before the first."""
-        return self.commits().agg(F.coalesce(F.max("run"), F.lit(0))).first()[0]
+    def _last(self) -> T.Row:
+        newest = self.commits().orderBy(F.col("run").desc()).limit(1).collect()
+        return newest[0] if newest else T.Row(run=0, label=None, staging=0, silver=0)
 
     def has(self, label: str) -> bool:
         return not self.commits().where(F.col("label") == label).isEmpty()
 
-    def _runs(self, test) -> DataFrame:
-        run = self.last_run()
+    def _rows(self, table: str, *, current: bool, settled: bool) -> DataFrame:
+        schema, run = self.schemas[table], self._last()[table]
         if run == 0:
-            return empty(self.spark, self.schema)
-        schema = T.StructType(
-            [*self.schema.fields, T.StructField("run", T.LongType()), T.StructField("kind", T.StringType())]
-        )
-        rows = self.spark.read.schema(schema).parquet(f"{self.folder}/runs")
-        return rows.where(test(F.col("run"), F.col("kind"), run)).select(*self.schema.fieldNames())
-
-    def current(self) -> DataFrame:
-        """Active rows (all rows of a table without history)."""
-        return self._runs(lambda run, kind, last: (run == last) & (kind == "current"))
-
-    def history(self) -> DataFrame:
-        """Closed versions of all committed runs."""
-        return self._runs(lambda run, kind, last: (run <= last) & (kind == "history"))
-
-    def read(self) -> DataFrame:
-        return self._runs(
-            lambda run, kind, last: ((run == last) & (kind == "current")) | ((run <= last) & (kind == "history"))
+            return empty(self.spark, schema)
+        stored = T.StructType(
+            [*schema.fields, T.StructField("run", T.LongType()), T.StructField("kind", T.StringType())]
         )
-
-    def commit(self, delta: DataFrame, label: str) -> int:
-        """Store what a merge leaves of the current rows and what it adds; returns the run.
-
-        The label names the input: committing the same label again does nothing.
-        """
+        of_run, kind = F.col("run"), F.col("kind")
+        wanted = F.lit(False)
+        if current:
+            wanted = wanted | ((of_run == run) & (kind == "current"))
+        if settled:
+            wanted = wanted | ((of_run <= run) & (kind == "settled"))
+        rows = self.spark.read.schema(stored).parquet(f"{self.folder}/{table}")
+        return rows.where(wanted).select(*schema.fieldNames())
+
+    def current(self, table: str) -> DataFrame:
+        return self._rows(table, current=True, settled=False)
+
+    def settled(self, table: str) -> DataFrame:
+        return self._rows(table, current=False, settled=True)
+
+    def read(self, table: str) -> DataFrame:
+        return self._rows(table, current=True, settled=True)
+
+    def commit(self, label: str, **tables: DataFrame) -> int:
+        """Store new open rows and newly settled rows of ``staging`` and/or ``silver``."""
         if self.has(label):
-            return self.last_run()
-        run = self.last_run() + 1
-        kind = F.when(F.col("active"), "current").otherwise("history") if self.keeps_history else F.lit("current")
-        delta.select(*self.schema.fieldNames(), kind.alias("kind")).write.mode("overwrite").partitionBy(
-            "kind"
-        ).parquet(f"{self.folder}/runs/run={run}")
-        self.spark.createDataFrame([(run, label)], _COMMIT).coalesce(1).write.mode("append").parquet(
-            f"{self.folder}/commits"
-        )
+            return self._last().run
+        last = self._last()
+        run, newest = last.run + 1, {STAGING: last.staging, SILVER: last.silver}
+        for table, rows in tables.items():
+            if "active" in rows.columns:
+                settled = ~F.coalesce(F.col("active"), F.lit(False))
+            elif "merge_status" in rows.columns:
+                settled = F.col("merge_status") != 0
+            else:
+                settled = F.lit(False)
+            kind = F.when(settled, "settled").otherwise("current").alias("kind")
+            rows.select(*self.schemas[table].fieldNames(), kind).write.mode("overwrite").partitionBy("kind").parquet(
+                f"{self.folder}/{table}/run={run}"
+            )
+            newest[table] = run
+        row = (run, label, newest[STAGING], newest[SILVER])
+        self.spark.createDataFrame([row], _COMMIT).coalesce(1).write.mode("append").parquet(f"{self.folder}/commits")
         return run
