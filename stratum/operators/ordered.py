@@ -47,8 +47,9 @@ class KeyedSequence:
         rows = rows.withColumn(name, inside)
         if self.hot is None:
             return rows
+        # A semi join sinks below the windows, so only hot keys are gone through a second time.
         carry = (
-            rows.join(F.broadcast(self.hot.select(*self.keys)), self.keys)
+            rows.join(F.broadcast(self.hot.select(*self.keys)), self.keys, "left_semi")
             .groupBy(*self.partition)
             .agg(summary.alias("_summary"))
             .select(*self.partition, carried(Window.partitionBy(*self.keys).orderBy(_SLICE)).alias("_carry"))
