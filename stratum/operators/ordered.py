@@ -100,3 +100,14 @@ class KeyedSequence:
             lambda slices: F.sum("_summary").over(slices.rowsBetween(Window.unboundedPreceding, -1)),
             lambda inside, carry: inside + F.coalesce(carry, F.lit(0)),
         )
+
+    def dense_rank(self, rows: DataFrame, name: str) -> DataFrame:
+        """Position of the row's time among the different times of its key, from 1."""
+        return self._scan(
+            rows,
+            name,
+            F.dense_rank().over(self._window()),
+            F.count_distinct(self.order),
+            lambda slices: F.sum("_summary").over(slices.rowsBetween(Window.unboundedPreceding, -1)),
+            lambda inside, carry: inside + F.coalesce(carry, F.lit(0)),
+        )

@@ -206,31 +206,35 @@ def overlap_pairs(
         .select((-F.col("_c") * F.col("_c")).cast("decimal(38,0)").alias("n"))
     )
 
-    # Reversed with proper: begin before x, end after y.  The begins before x are the disjoint
-    # binary prefixes that branch off to the left of x, one per set bit of x.
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp")) + F.lit(2**62)
+    # Reversed with proper: begin before x, end after y.  With begins and x numbered in time order,
+    # the begins before x are the disjoint binary prefixes that branch off to the left of x's
+    # number, one per bit set in it.
     suspects = proper.join(reversed_.select(*keys).distinct(), keys, "left_semi")
-    levels = F.explode(F.sequence(F.lit(0), F.lit(62))).alias("_level")
-
-    def prefixes(rows: DataFrame, at: Column, bit: int, kind: str) -> DataFrame:
-        spread = rows.withColumn("_x", at).select("*", levels)
-        # The left sibling of an odd prefix is the even one before it.
-        node = F.expr(f"shiftright(_x, _level) - {bit}").alias("_node")
-        return spread.where(F.expr(f"(shiftright(_x, _level) & 1) = {bit}")).select(
-            *keys,
-            "_level",
-            node,
-            F.col("_at").alias("at"),
-            (one if kind == "points" else zero).alias("points"),
-            (one if kind == "queries" else zero).alias("queries"),
+    marks = suspects.select(
+        *keys, F.col("valid_from").alias("at"), F.col("valid_to").alias("_other"), F.lit(0).alias("_bit")
+    ).unionByName(
+        reversed_.select(
+            *keys, F.col("valid_to").alias("at"), F.col("valid_from").alias("_other"), F.lit(1).alias("_bit")
         )
-
-    inside = prefixes(suspects.withColumn("_at", F.col("valid_to")), micros("valid_from"), 0, "points")
-    asking = prefixes(reversed_.withColumn("_at", F.col("valid_from")), micros("valid_to"), 1, "queries")
-    marks, groups = inside.unionByName(asking), [*keys, "_level", "_node"]
+    )
+    sequence = KeyedSequence(marks, keys, "at", hot)
+    numbered = sequence.dense_rank(sequence.rows, "_at")
+    most = marks.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(1))).scalar()
+    levels = F.explode(F.sequence(F.lit(0), F.ceil(F.log2(most + 1)).cast("int"))).alias("_level")
+    prefix = F.expr("shiftright(_at, _level)")
+    enters = F.expr("shiftright(_at, _level) & 1") == F.col("_bit")
+    prefixes = numbered.select("*", levels).where(enters).select(
+        *keys,
+        "_level",
+        (prefix - F.col("_bit")).alias("_node"),
+        F.col("_other").alias("at"),
+        (1 - F.col("_bit")).cast("long").alias("points"),
+        F.col("_bit").cast("long").alias("queries"),
+    )
+    groups = [*keys, "_level", "_node"]
     # A prefix can only be hot within a hot key.
-    hot = None if hot is None else find_hot_ranges(marks, groups, "at", hot_rows, look)
-    enclosing = _rank_sums(marks, groups, hot).select(
+    hot_prefixes = None if hot is None else find_hot_ranges(prefixes, groups, "at", hot_rows, look)
+    enclosing = _rank_sums(prefixes, groups, hot_prefixes).select(
         (2 * (F.col("points") * F.col("queries") - F.col("not_after"))).cast("decimal(38,0)").alias("n")
     )
     return together([plain, same, enclosing]).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"))
