@@ -199,7 +199,7 @@ def with_lineage(rows: DataFrame, entity: str, loaded_at: datetime) -> DataFrame
     name = lf.landing_name(F.col("delivery"))
     return rows.select(
         *LANDING[entity].fieldNames(),
-        F.lit(loaded_at).cast("timestamp_ntz").alias("inserted_at"),
+        F.lit(loaded_at.isoformat(sep=" ")).cast("timestamp_ntz").alias("inserted_at"),
         lf.batch_of(name).alias("batch_value"),
         lf.origin_date_of(name).alias("origin_date"),
         F.lit(0).alias("merge_status"),
