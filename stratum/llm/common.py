@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,6 +44,35 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+_sent: set[str] = set()
+
+
+def _send_package(spark: SparkSession) -> None:
+    """Give executors this package unless their path has it already."""
+    package = Path(__file__).resolve().parents[1]
+    paths = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    context = spark.sparkContext
+    if context.applicationId in _sent or any(os.path.realpath(p or ".") == str(package.parent) for p in paths):
+        return
+    folder = tempfile.mkdtemp(prefix="stratum-package-")  # the driver serves it as long as it runs
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in package.rglob("*.py"):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(archive)
+    _sent.add(context.applicationId)
+
+
+def arrow_batches(rows: DataFrame, most: int = 256) -> DataFrame:
+    """Keep the batches that Python gets small enough for long texts, and send this package along; returns ``rows``."""
+    _send_package(rows.sparkSession)
+    conf = rows.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) != most:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(most))
+    return rows
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")

@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import fingerprints, mixture, oracle, quality_rules, shards
+from stratum.llm import bpe, fingerprints, language_id, mixture, oracle, quality_rules, shards
 from stratum.session import prepare
 
 
+def tokenizer_path() -> str:
+    """The byte-level BPE of the installed tokenizer files."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
@@ -26,6 +33,21 @@ def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(_table(spark, sf_dir, "documents"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    coded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    decoded = bpe.decode(coded, path)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -35,7 +57,7 @@ def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    known = (op1_scaled_sketch, op3_byte_shards, op8_quality_rules, op9_mixture)
+    known = (op1_scaled_sketch, op3_byte_shards, op5_language_id, op6_bpe, op8_quality_rules, op9_mixture)
     return {f.__name__: f for f in known}
 
 
