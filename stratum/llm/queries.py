@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, fingerprints, language_id, mixture, oracle, quality_rules, shards
+from stratum.llm import bpe, fingerprints, language_id, mixture, oracle, quality_rules, shards, warc
 from stratum.session import prepare
 
 
@@ -48,6 +48,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -57,7 +63,7 @@ def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    known = (op1_scaled_sketch, op3_byte_shards, op5_language_id, op6_bpe, op8_quality_rules, op9_mixture)
+    known = (op1_scaled_sketch, op3_byte_shards, op5_language_id, op6_bpe, op7_warc, op8_quality_rules, op9_mixture)
     return {f.__name__: f for f in known}
 
 
