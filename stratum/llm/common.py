@@ -122,5 +122,5 @@ def running_totals(
 def salted_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str, salts: int = 16) -> DataFrame:
     """Join with a narrow ``lookup`` of one row per key; a key's ``rows`` spread over ``salts`` tasks."""
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)).cast("int")
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("_salt", salt).join(repeated, [*keys, "_salt"], how).drop("_salt")
+    repeated = lookup.withColumn("_spread", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_spread", salt).join(repeated, [*keys, "_spread"], how).drop("_spread")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, fingerprints, language_id, mixture, oracle, quality_rules, shards, warc
+from stratum.llm import bpe, fingerprints, language_id, mixture, oracle, quality_rules, shards, suffix_dedup, warc
 from stratum.session import prepare
 
 
@@ -26,6 +26,12 @@ def op1_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprinted(_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.sharded(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -63,7 +69,7 @@ def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    known = (op1_scaled_sketch, op3_byte_shards, op5_language_id, op6_bpe, op7_warc, op8_quality_rules, op9_mixture)
+    known = (op1_scaled_sketch, op2_suffix_dedup, op3_byte_shards, op5_language_id, op6_bpe, op7_warc, op8_quality_rules, op9_mixture)
     return {f.__name__: f for f in known}
 
 
