@@ -76,10 +76,10 @@ def fingerprinted(documents: DataFrame) -> DataFrame:
         F.col("_key").alias("_for"), ((F.col("_place") + 1) % F.lit(max(n, 1))).alias("_place"),
         F.floor(F.col("_longest") / 4).cast("int").alias("_need"),
     ).join(placed.select("_place", "_key"), "_place")
-    # Both joins below read this one exchange of the texts.
-    sketched = with_sketch(rows, "_text", "_sketch")
+    # Both joins below read one exchange of the texts, as both need the same columns of it; the id is in the key.
+    sketched = with_sketch(rows.drop("doc_id"), "_text", "_sketch")
     heads = (
-        sketched.drop("doc_id").join(stored(needs.select("_for", "_need", "_key"), "id-next"), "_key")
+        sketched.join(stored(needs.select("_for", "_need", "_key"), "id-next"), "_key")
         .select(
             "_for", F.sha2("_text", 256).alias("_sha"),
             F.struct(F.substring(F.col("_text"), F.lit(1), F.col("_need")).alias("head"), F.col("_sketch").alias("sketch")).alias("_next"),
@@ -92,8 +92,9 @@ def fingerprinted(documents: DataFrame) -> DataFrame:
     edited = F.concat(
         F.substring(F.col("_text"), F.lit(1), n_chars - quarter), F.substring(F.col("_next.head"), F.lit(1), quarter)
     )
+    kind = documents.schema["doc_id"].dataType.simpleString()
     both = joined.select(
-        "doc_id", n_chars.cast("long").alias("n_chars"), edited.alias("_edited"), "_sketch",
+        F.expr(f"try_cast(_key AS {kind})").alias("doc_id"), n_chars.cast("long").alias("n_chars"), edited.alias("_edited"), "_sketch",
         F.col("_next.sketch").alias("_next_sketch"),
     )
     drawn = with_sketch(both, "_edited", "_edited_sketch")
