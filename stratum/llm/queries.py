@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, fingerprints, language_id, mixture, oracle, quality_rules, shards, suffix_dedup, warc
+from stratum.llm import bpe, fingerprints, language_id, minhash, mixture, oracle, pseudo_likelihood, quality_rules, shards, suffix_dedup, warc
 from stratum.session import prepare
 
 
@@ -39,6 +39,11 @@ def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return pseudo_likelihood.score(documents, pseudo_likelihood.fit(documents))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(_table(spark, sf_dir, "documents"))
 
@@ -68,8 +73,15 @@ def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixed(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    known = (op1_scaled_sketch, op2_suffix_dedup, op3_byte_shards, op5_language_id, op6_bpe, op7_warc, op8_quality_rules, op9_mixture)
+    known = (
+        op1_scaled_sketch, op2_suffix_dedup, op3_byte_shards, op4_pseudo_likelihood, op5_language_id, op6_bpe, op7_warc,
+        op8_quality_rules, op9_mixture, op10_minhash,
+    )
     return {f.__name__: f for f in known}
 
 
