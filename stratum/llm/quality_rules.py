@@ -169,7 +169,7 @@ def rated(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``documents`` that ``rated`` keeps, with all their columns."""
-    narrow = measured(documents.select("doc_id", _stratum(), "text")).drop("text")
-    cutoffs = _cutoffs(narrow, labels)
-    rows = documents.select(F.struct("*").alias("_row"), _stratum(), F.col("text").alias("_text"))
-    return judged(measured(rows, "_text"), cutoffs).where("kept").select("_row.*")
+    # Kept as a table: measured once, and the filter cannot be pushed below the measures, which would repeat them.
+    rows = documents.select(F.struct("*").alias("_row"), "doc_id", _stratum(), F.col("text").alias("_text"))
+    rows = stored(measured(rows, "_text").drop("_text"), "measured-rows")
+    return judged(rows, _cutoffs(rows.drop("_row"), labels)).where("kept").select("_row.*")
