@@ -137,9 +137,12 @@ def _steps(spec: MergeSpec) -> dict[str, str]:
         steps["p"] = f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {keys}
   ORDER BY inserted_at DESC NULLS LAST, row_id DESC) AS rn FROM ({rows} WHERE merge_status = 0) x) y WHERE rn = 1"""
     elif spec.style == "C":
-        steps["newest"] = f"""SELECT {keys}, inserted_at FROM (SELECT {keys}, inserted_at, ROW_NUMBER() OVER (
-  PARTITION BY {keys} ORDER BY inserted_at DESC) AS rn FROM {staging} WHERE merge_status = 0) x WHERE rn = 1"""
-        steps["p"] = f"SELECT p.* FROM ({rows}) p JOIN newest ls ON {_on('p', 'ls', (*spec.keys, 'inserted_at'))}"
+        # The rows of a key that came with its newest pending load, whether pending or not.
+        present = " AND ".join(f"{k} IS NOT NULL" for k in spec.keys)
+        steps["p"] = f"""SELECT * EXCLUDE (last_load) FROM (
+  SELECT row_id, {named}, inserted_at, origin_date,
+    MAX(CASE WHEN merge_status = 0 THEN inserted_at END) OVER (PARTITION BY {keys}) AS last_load FROM {staging}) x
+WHERE inserted_at = last_load AND {present}"""
     else:
         steps["p"] = f"{rows} WHERE merge_status = 0"
     steps["act"] = f"SELECT * FROM {silver} WHERE active"
@@ -203,7 +206,7 @@ def merge_marked(spec: MergeSpec) -> str:
         )
         hit = f"merge_status = 0 AND EXISTS (SELECT 1 FROM {newest} c WHERE {_on('t', 'c', (*spec.keys, 'inserted_at'))})"
     elif spec.style == "C":
-        hit = f"EXISTS (SELECT 1 FROM newest c WHERE {_on('t', 'c', (*spec.keys, 'inserted_at'))})"
+        hit = "t.row_id IN (SELECT row_id FROM p)"
     else:
         # New row ids are asked for after the insert, when only rows without a full key are unmatched.
         null_key = " OR ".join(f"t.{k} IS NULL" for k in spec.keys)
@@ -259,13 +262,14 @@ _COST = """SELECT r.flavour_id, ROUND(CAST(SUM(CAST(r.quantity_grams AS DECIMAL(
 FROM recipes_silver r JOIN ingredients_silver i ON r.ingredient_id = i.ingredient_id
 WHERE r.active AND i.active GROUP BY r.flavour_id"""
 
-_GOLD = """SELECT DISTINCT s.transaction_id, s.customer_id, c.name AS customer_name, s.flavour_id, f.name AS flavour_name,
-  s.quantity_liters, s.transaction_date, s.amount_dollar AS revenue, CAST(fc.cost_per_liter AS DOUBLE) AS cost_per_liter,
-  CAST(ROUND(CAST(s.quantity_liters AS DECIMAL(18,6)) * fc.cost_per_liter, 2) AS DOUBLE) AS total_cost,
-  CAST(ROUND(CAST(s.amount_dollar AS DECIMAL(18,6)) - CAST(s.quantity_liters AS DECIMAL(18,6)) * fc.cost_per_liter, 2)
-    AS DOUBLE) AS profit
-FROM upserted s JOIN customers_silver c ON s.customer_id = c.customer_id AND c.active
-  JOIN flavours_silver f ON s.flavour_id = f.flavour_id AND f.active JOIN flavour_cost fc ON s.flavour_id = fc.flavour_id"""
+# Names and costs are looked up first; a sale without one of them has no row.
+_GOLD = """SELECT DISTINCT transaction_id, customer_id, customer_name, flavour_id, flavour_name, quantity_liters,
+  transaction_date, amount_dollar AS revenue, CAST(unit AS DOUBLE) AS cost_per_liter,
+  CAST(ROUND(liters * unit, 2) AS DOUBLE) AS total_cost, CAST(ROUND(paid - liters * unit, 2) AS DOUBLE) AS profit
+FROM (SELECT *, CAST(quantity_liters AS DECIMAL(18,6)) AS liters, CAST(amount_dollar AS DECIMAL(18,6)) AS paid FROM upserted) sale
+JOIN (SELECT flavour_id, name AS flavour_name, cost_per_liter AS unit
+  FROM flavours_silver JOIN flavour_cost USING (flavour_id) WHERE active) priced USING (flavour_id)
+JOIN (SELECT customer_id, name AS customer_name FROM customers_silver WHERE active) named USING (customer_id)"""
 _GOLD_TABLES = [*_SALES_TABLES, "customers_silver", "flavours_silver", "recipes_silver", "ingredients_silver"]
 
 
@@ -305,9 +309,24 @@ def _union(parts: list[str]) -> str:
     return "\nUNION ALL ".join(parts)
 
 
-def quality_sql() -> dict[str, str]:
-    from stratum.operators.quality import INGREDIENT_CRITICAL, NULL_KEY_GROUPS, STAGING_KEY
+# Fixed values, written out here too so that a wrong list on either side shows.
+STAGING_KEY = {"customers": "customer_id", "salestransactions": "transaction_id"}
+INGREDIENT_CRITICAL = ("ingredient_id", "name", "valid_from", "active")
+NULL_KEY_GROUPS: dict[str, tuple[tuple[str, ...], ...]] = {
+    "customers": (("customer_id",),),
+    "provider": (("provider_id",), ("name",)),
+    "flavours": (("flavour_id",), ("name",)),
+    "rawmaterialtype": (("raw_material_type_id",), ("name",)),
+    "ingredientsrawmaterial": (("ingredient_rawmaterial_id",), ("ingredient_id",), ("raw_material_type_id",)),
+    "ingredients": (("ingredient_id", "name", "valid_from", "active"),),
+    "recipes": (("recipe_id", "flavour_id", "ingredient_id", "quantity_grams"),),
+    "stocks": (("stock_id", "flavour_id"),),
+    "salestransactions": (("transaction_id",), ("customer_id",)),
+    "gold_sales": (("transaction_id",),),
+}
 
+
+def quality_sql() -> dict[str, str]:
     staging = {e: f"{e}_staging" for e in SPECS}
     silver = {e: f"{e}_silver" for e in SPECS}
     counts = [_count_row("rows", t, "all", "COUNT(*)", "info", t) for t in [*staging.values(), *silver.values()]]
@@ -364,9 +383,11 @@ def quality_sql() -> dict[str, str]:
         "dq_duplicate_active_recipes": duplicate_active("recipes"),
         "dq_overlap_pairs": using(
             ["user_history"],
-            """SELECT COUNT(*) AS n FROM user_history t1 JOIN user_history t2 ON t1.user_id = t2.user_id
-  AND t1.valid_from < t2.valid_to AND t1.valid_to > t2.valid_from
-  AND (t1.valid_from <> t2.valid_from OR t1.valid_to <> t2.valid_to)""",
+            # Each user's closed versions as a list; for each, how many others in it it overlaps.
+            """SELECT CAST(COALESCE(SUM(list_sum(list_transform(spans, lambda own:
+    len(list_filter(spans, lambda other: own <> other AND other.since < own.until AND own.since < other.until))))), 0) AS BIGINT) AS n
+FROM (SELECT list({'since': valid_from, 'until': valid_to}) AS spans
+  FROM user_history WHERE valid_to IS NOT NULL AND user_id IS NOT NULL GROUP BY user_id) users""",
         ),
         "dq_overlap_keys": using(
             ["user_history"],
