@@ -18,23 +18,26 @@ def cost_per_flavour(recipes: DataFrame, ingredients: DataFrame) -> DataFrame:
     grams = (
         recipes.where("active")
         .groupBy("flavour_id", "ingredient_id")
-        .agg(F.sum(exact("quantity_grams")).cast("decimal(20,6)").alias("grams"))
+        .agg(F.sum(F.col("quantity_grams").cast("decimal(28,6)")).alias("grams"))
     )
-    prices = ingredients.where("active").select(
-        "ingredient_id", F.col("cost_per_gram").cast("decimal(17,6)").alias("price")
-    )
-    total = (
-        grams.join(prices, "ingredient_id")
-        .groupBy("flavour_id")
-        .agg(
-            F.sum(F.col("grams") * F.col("price")).alias("cost"),
-            # A missing price leaves the cost but not the quantity out of the average.
-            F.sum("grams").alias("grams"),
-        )
-    )
-    return total.select(
-        "flavour_id", cents(exact(F.try_divide(F.col("cost"), F.col("grams")))).alias("cost_per_liter")
+    prices = ingredients.where("active").select("ingredient_id", F.col("cost_per_gram").alias("price"))
+    joined = grams.join(prices, "ingredient_id")
+    # Products are exact as long as they fit into 38 digits.  A flavour with larger sums is averaged in
+    # doubles, which then are good to far less than a cent.
+    exact_grams, exact_price = F.expr("try_cast(grams AS DECIMAL(20,6))"), F.expr("try_cast(price AS DECIMAL(17,6))")
+    fits = exact_grams.isNotNull() & (exact_price.isNotNull() | F.col("price").isNull())
+    wide = F.col("grams").cast("double")
+    total = joined.groupBy("flavour_id").agg(
+        F.try_sum(exact_grams * exact_price).alias("cost"),
+        # A missing price leaves the cost but not the quantity out of the average.
+        F.try_sum(exact_grams).alias("grams"),
+        F.sum(wide * F.col("price")).alias("wide_cost"),
+        F.sum(wide).alias("wide_grams"),
+        F.bool_and(fits).alias("fits"),
     )
+    average = F.expr("try_cast(try_divide(cost, grams) AS DECIMAL(18,6))")
+    rough = F.expr("try_cast(try_divide(wide_cost, wide_grams) AS DECIMAL(18,6))")
+    return total.select("flavour_id", cents(F.when(F.col("fits"), average).otherwise(rough)).alias("cost_per_liter"))
 
 
 def sales_analytics(
@@ -91,3 +94,13 @@ def sales_analytics(
 def create_view(sales_view: DataFrame, name: str = "vw_salestransaction_analytics") -> None:
     """Register the gold query under its view name; it is computed when read."""
     sales_view.createOrReplaceTempView(name)
+
+
+def write_by_month(sales_view: DataFrame, path: str) -> None:
+    """Write the view below ``path``, one folder per month of ``transaction_date``, ordered by date and id.
+
+    Rows are dealt out by ranges of date and id, so a month spreads over as many files as its size asks for.
+    """
+    month = F.date_format("transaction_date", "yyyy-MM").alias("month")
+    rows = sales_view.select("*", month).repartitionByRange("month", "transaction_date", "transaction_id")
+    rows.sortWithinPartitions("month", "transaction_date", "transaction_id").write.partitionBy("month").parquet(path)

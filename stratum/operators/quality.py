@@ -286,7 +286,13 @@ def gold_checks(view: DataFrame) -> DataFrame:
 
 
 def enforce(report: DataFrame) -> None:
-    """Raise if the report has findings of severity ``error``; names at most twenty of them."""
-    found = report.where((F.col("severity") == ERROR) & (F.col("n") > 0)).limit(20).collect()
+    """Raise if the report has findings of severity ``error``.
+
+    The message names the first twenty; the exception's ``report`` has them all, as a DataFrame.
+    """
+    errors = report.where((F.col("severity") == ERROR) & (F.col("n") > 0))
+    found = errors.limit(20).collect()
     if found:
-        raise QualityError("; ".join(f"{r['check']} in {r['subject']} ({r['key']}): {r['n']}" for r in found))
+        raised = QualityError("; ".join(f"{r['check']} in {r['subject']} ({r['key']}): {r['n']}" for r in found))
+        raised.report = errors
+        raise raised
