@@ -59,6 +59,17 @@ class CleanMerge:
         """Pending rows that are not newer than the active version of their key."""
         return self._dated.where("inserted_at <= _since").drop("_since")
 
+    def refused(self) -> DataFrame:
+        """Pending rows without a version of their own because their key is NULL or they are late, with the reason."""
+        names = self._pending.columns
+        waiting = self._pending.where(no_null(self.keys))
+        since = self.active.groupBy(*self.keys).agg(F.max("valid_from").alias("_since"))
+        late = skew_join(waiting, since, self.keys, "inner", find_hot(waiting, self.keys, self.hot_rows, self.look))
+        return (
+            late.where("inserted_at <= _since").select(*names, F.lit("late").alias("reason"))
+            .unionByName(self.rejected().select(*names, F.lit("null key").alias("reason")))
+        )
+
     @cached_property
     def delta(self) -> DataFrame:
         """Everything that replaces the active rows: kept, closed and new versions."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import datetime
 
@@ -9,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators import gold, quality, scd1, scd2, scd2_clean
+from stratum.operators.skew import any_null
+from stratum.schemas import empty
 from stratum.sources import landing
-from stratum.sources.tables import SILVER, STAGING, EntityStore
+from stratum.sources.tables import REFUSED, SILVER, STAGING, EntityStore
 from stratum.specs import SPECS
 
 LITERAL, CLEAN = "literal", "clean"
@@ -42,40 +45,70 @@ class Layers:
     def ingest(
         self, deliveries: DataFrame, loaded_at: datetime, label: str, *, per_file: bool = False
     ) -> list[tuple[str, DataFrame]]:
-        """Add every loadable delivery to its staging table; returns the rejects per entity.
+        """Add every loadable delivery to its staging table; returns, per entity, deliveries not loaded and why.
 
-        A table that several deliveries feed is loaded by one plan.
+        A delivery is loaded once, whatever the label: its path is kept with the commit, so a repeated call adds
+        nothing, and reports it.  Rejected deliveries are not remembered and may come again.  A table that
+        several deliveries feed is loaded by one plan; its files are parsed once.
         """
         named = [r.table_name for r in deliveries.select("table_name").distinct().collect()]
         rejects = []
         for entity in sorted(set(named) & set(SPECS)):
             store = self.stores[entity]
+            own, known = deliveries.where(F.col("table_name") == entity), store.deliveries()
+            skipped = own.join(known, "delivery", "left_semi").select("delivery", F.lit("already loaded").alias("reason"))
+            parsed = f"{store.folder}/parsed/{uuid.uuid4().hex[:12]}"
             load = landing.load(
-                self.spark, deliveries, entity, loaded_at, existing=store.read(STAGING), per_file=per_file
+                self.spark, own.join(known, "delivery", "left_anti"), entity, loaded_at,
+                first_id=store.last_row_id() + 1, parsed=parsed, per_file=per_file,
             )
-            store.commit(f"load {label}", staging=store.current(STAGING).unionByName(load.rows))
-            rejects.append((entity, load.rejects))
-        unknown = deliveries.where(~F.col("table_name").isin(*SPECS)).select("delivery", "reason")
+            refused = self.spark.createDataFrame(
+                load.rejects.unionByName(skipped).collect(), "delivery string, reason string"  # at most one per delivery
+            )
+            accepted = sorted({d.path for d in load.found} - {r.delivery for r in refused.collect()})
+            if accepted:
+                store.commit(f"load {label}", added=True, deliveries=accepted, staging=load.rows)
+            store.remove(parsed)
+            rejects.append((entity, refused))
+        unknown = deliveries.where(F.col("table_name").isNull() | ~F.col("table_name").isin(*SPECS)).select("delivery", "reason")
         return [*rejects, ("unknown", unknown)]
 
     # --- silver ---------------------------------------------------------------------------
 
-    def merge(self, entity: str, label: str) -> None:
-        """Merge the pending rows of one entity; staging and silver change together."""
+    def merge(self, entity: str, label: str) -> DataFrame:
+        """Merge the pending rows of one entity; staging and silver change together.
+
+        A label that has been merged since the last load is not merged again.  Returns the pending rows that the
+        clean policy takes no version from, with the reason; they are stored too (``refused``).
+        """
         store, spec = self.stores[entity], SPECS[entity]
+        nothing = empty(self.spark, store.schemas[REFUSED])
+        if store.has(f"merge {label}"):
+            return nothing
         pending, current = store.current(STAGING), store.current(SILVER)
+        tables = {}
         if spec.style == "E":
             delta = scd1.upsert(current, pending)
             marked = scd1.mark_processed(pending) if self.policy == LITERAL else scd2_clean.mark_all_processed(pending)
+            if self.policy == CLEAN:
+                lost = pending.where(any_null(list(spec.keys)) & (F.col("merge_status") == 0))
+                tables[REFUSED] = lost.withColumn("reason", F.lit("null key"))
         elif self.policy == CLEAN:
-            delta = scd2_clean.CleanMerge(spec, current, pending).delta
-            marked = scd2_clean.mark_all_processed(pending)
+            merge = scd2_clean.CleanMerge(spec, current, pending)
+            delta, marked, tables[REFUSED] = merge.delta, scd2_clean.mark_all_processed(pending), merge.refused()
         else:
             # Style C also looks at processed rows of the newest load.
             rows = store.read(STAGING) if spec.style == "C" else pending
             run = scd2.LiteralMerge(spec, current, rows, broadcast_pending=pending.count() <= _BROADCAST_PENDING)
             delta, marked = run.delta(), run.marked(pending_only=True)
-        store.commit(f"merge {label}", silver=delta, staging=marked)
+        before = {r.attempt for r in store.commits().select(F.explode("settled_refused").alias("attempt")).collect()}
+        store.commit(f"merge {label}", silver=delta, staging=marked, **tables)
+        after = {r.attempt for r in store.commits().select(F.explode("settled_refused").alias("attempt")).collect()}
+        return store._read(REFUSED, [f"{a}/kind=settled" for a in sorted(after - before)])
+
+    def refused(self, entity: str) -> DataFrame:
+        """All pending rows that clean merges took no version from."""
+        return self.stores[entity].read(REFUSED)
 
     def merge_all(self, label: str, entities: Iterable[str] = tuple(SPECS)) -> None:
         for entity in entities:
@@ -95,6 +128,18 @@ class Layers:
 
     def check(self, entity: str) -> DataFrame:
         """Report of both layers of one entity."""
-        return quality.together(
-            [quality.staging_checks(self.staging(entity), entity), quality.silver_checks(self.silver(entity), entity)]
-        )
+        return quality.together([
+            quality.staging_checks(self.staging(entity), entity),
+            quality.silver_checks(self.silver(entity), entity),
+        ])
+
+    def unprocessed(self, entity: str) -> DataFrame:
+        """Rows that a merge has left pending."""
+        return quality.unprocessed(self.stores[entity].current(STAGING), entity)
+
+    def check_gold(self) -> DataFrame:
+        return quality.gold_checks(self.gold())
+
+    def write_gold(self, path: str) -> None:
+        """The gold view as a table partitioned by month of sale, in order of date and id inside each file."""
+        gold.write_by_month(self.gold(), path)

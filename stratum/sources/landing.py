@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
@@ -104,21 +105,31 @@ class Delivery:
 
 
 def probe(spark: SparkSession, deliveries: DataFrame, entity: str | None = None) -> list[Delivery]:
-    """Loadable deliveries and their headers.
+    """Loadable deliveries and their headers, in one job.
 
     What reaches the driver is one row per delivery and the first line of each, never data.
     """
     rows = deliveries.where("reason IS NULL")
     if entity is not None:
         rows = rows.where(F.col("table_name") == entity)
-    found, headers = [], {}
-    chosen = rows.select("delivery", "file_name", "table_name", lf.delivery_path(F.col("delivery")).alias("whole"))
-    for r in chosen.orderBy("delivery").collect():
-        if r.whole not in headers:
-            reader = spark.read.option("header", True).option("recursiveFileLookup", True)
-            headers[r.whole] = tuple(reader.csv(r.delivery).columns)
-        found.append(Delivery(r.delivery, r.file_name, r.table_name, headers[r.whole]))
-    return found
+    chosen = rows.select("delivery", "file_name", "table_name").orderBy("delivery").collect()
+    if not chosen:
+        return []
+    lines = (
+        spark.read.option("recursiveFileLookup", True).text([r.delivery for r in chosen])
+        .select(
+            lf.delivery_path(F.col("_metadata.file_path")).alias("whole"), F.col("_metadata.file_block_start").alias("start"),
+            F.struct(lf.file_path(F.col("_metadata.file_path")), F.monotonically_increasing_id()).alias("at"), "value",
+        )
+        .where("start = 0")
+    )
+    headers = {
+        r.whole: tuple(next(csv.reader([r.line]), ()))
+        for r in lines.groupBy("whole").agg(F.min_by("value", "at").alias("line")).collect()
+    }
+    own = rows.select("delivery", lf.delivery_path(F.col("delivery")).alias("whole")).collect()
+    whole = {r.delivery: r.whole for r in own}
+    return [Delivery(r.delivery, r.file_name, r.table_name, headers.get(whole[r.delivery], ())) for r in chosen]
 
 
 def missing_columns(delivery: Delivery) -> list[str]:
@@ -131,6 +142,10 @@ def scan(
 ) -> DataFrame:
     """Declared columns of one entity as text, picked by header name, with the delivery path.
 
+    ``_malformed`` marks lines with another number of cells than the header, or with a quote that the line
+    does not close: quoted text may hold delimiters and doubled quotes, but no line breaks, which would
+    make large files unsplittable.
+
     A CSV schema binds by position, so deliveries are read in one scan per column order.
     Deliveries that lack a column are left to the reject list.
     """
@@ -142,11 +157,15 @@ def scan(
     scans = []
     for header, paths in sorted(layouts.items()):
         positions = {c.strip().lower(): i for i, c in reversed(list(enumerate(header)))}
-        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
+        cells = [T.StructField(f"c{i}", T.StringType()) for i in range(len(header))]
+        schema = T.StructType([*cells, T.StructField("_line", T.StringType())])
         raw = (
             spark.read.option("header", True)
             .option("recursiveFileLookup", True)
             .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_line")
+            .option("columnPruning", False)
+            .option("escape", '"')
             .schema(schema)
             .csv(paths)
         )
@@ -154,19 +173,21 @@ def scan(
             raw.select(
                 *[F.col(f"c{positions[n]}").alias(n) for n in names],
                 (lf.file_path if per_file else lf.delivery_path)(F.col("_metadata.file_path")).alias("delivery"),
+                F.col("_line").isNotNull().alias("_malformed"),
             )
         )
     if not scans:
-        return empty(
-            spark, T.StructType([T.StructField(n, T.StringType()) for n in [*names, "delivery"]])
-        )
+        texts = [T.StructField(n, T.StringType()) for n in [*names, "delivery"]]
+        return empty(spark, T.StructType([*texts, T.StructField("_malformed", T.BooleanType())]))
     return reduce(DataFrame.unionByName, scans)
 
 
 def typed_rows(raw: DataFrame, entity: str) -> DataFrame:
-    """Text rows in the declared types, ``_unfit`` where a value does not fit."""
+    """Text rows in the declared types, ``_unfit`` where a value does not fit or the line is malformed."""
     fields = LANDING[entity].fields
     bad = reduce(lambda a, b: a | b, [lf.unfit(F.col(f.name), f.dataType) for f in fields])
+    if "_malformed" in raw.columns:
+        bad = bad | F.col("_malformed")
     return raw.select(
         *[lf.typed(F.col(f.name), f.dataType).alias(f.name) for f in fields], "delivery", bad.alias("_unfit")
     )
@@ -174,7 +195,10 @@ def typed_rows(raw: DataFrame, entity: str) -> DataFrame:
 
 def bad_deliveries(raw: DataFrame, entity: str) -> DataFrame:
     """Deliveries with at least one row that does not fit: they are rejected whole."""
-    rows = typed_rows(raw, entity)
+    return _bad(typed_rows(raw, entity))
+
+
+def _bad(rows: DataFrame) -> DataFrame:
     return (
         rows.groupBy("delivery")
         .agg(F.count_if("_unfit").alias("bad_rows"), F.count("*").alias("rows"))
@@ -183,15 +207,18 @@ def bad_deliveries(raw: DataFrame, entity: str) -> DataFrame:
 
 
 def reject_bad(raw: DataFrame, entity: str, *, deliveries: int) -> DataFrame:
-    """Typed rows of the deliveries in which every value fits.
+    """Typed rows of the deliveries in which every value fits."""
+    return _without_bad(typed_rows(raw, entity), deliveries)
+
 
-    ``deliveries`` is the number of deliveries read: it bounds the reject list, which is
+def _without_bad(rows: DataFrame, deliveries: int) -> DataFrame:
+    """``deliveries`` is the number of deliveries read: it bounds the reject list, which is
     broadcast while it is small so that no data row is shuffled.
     """
-    rejected = bad_deliveries(raw, entity).select("delivery")
+    rejected = _bad(rows).select("delivery")
     if deliveries <= _BROADCAST_DELIVERIES:
         rejected = F.broadcast(rejected)
-    return typed_rows(raw, entity).drop("_unfit").join(rejected, "delivery", "left_anti")
+    return rows.drop("_unfit").join(rejected, "delivery", "left_anti")
 
 
 def with_lineage(rows: DataFrame, entity: str, loaded_at: datetime) -> DataFrame:
@@ -206,9 +233,11 @@ def with_lineage(rows: DataFrame, entity: str, loaded_at: datetime) -> DataFrame
     )
 
 
-def with_row_ids(rows: DataFrame, entity: str, existing: DataFrame | None = None) -> DataFrame:
-    """Unique row ids above those of ``existing``; ids have gaps, no shuffle is needed for them."""
-    offset = F.lit(1).cast("long")
+def with_row_ids(
+    rows: DataFrame, entity: str, existing: DataFrame | None = None, *, first_id: int = 1
+) -> DataFrame:
+    """Unique row ids from ``first_id``, or above those of ``existing``; ids have gaps, no shuffle is needed for them."""
+    offset = F.lit(first_id).cast("long")
     if existing is not None:
         offset = F.coalesce(existing.agg(F.max("row_id")).scalar(), F.lit(0)) + 1
     numbered = rows.withColumn("row_id", F.monotonically_increasing_id() + offset)
@@ -217,11 +246,12 @@ def with_row_ids(rows: DataFrame, entity: str, existing: DataFrame | None = None
 
 @dataclass(frozen=True)
 class Load:
-    """Staging rows of one entity and the deliveries that could not be loaded."""
+    """Staging rows of one entity, the deliveries read, and those that could not be loaded."""
 
     entity: str
     rows: DataFrame
     rejects: DataFrame
+    found: list[Delivery]
 
 
 def load(
@@ -231,20 +261,29 @@ def load(
     loaded_at: datetime,
     existing: DataFrame | None = None,
     *,
+    first_id: int = 1,
+    parsed: str | None = None,
     per_file: bool = False,
 ) -> Load:
-    """All loadable deliveries of one entity in one plan; a bad delivery does not stop the rest."""
+    """All loadable deliveries of one entity in one plan; a bad delivery does not stop the rest.
+
+    With ``parsed``, a folder, the typed rows are written there first, so that files are parsed once for
+    rows and rejects together.
+    """
     found = probe(spark, deliveries, entity)
-    raw = scan(spark, entity, found, per_file=per_file)
+    typed = typed_rows(scan(spark, entity, found, per_file=per_file), entity)
+    if parsed is not None:
+        typed.write.parquet(parsed)
+        typed = spark.read.schema(typed.schema).parquet(parsed)
     rows = with_row_ids(
-        with_lineage(reject_bad(raw, entity, deliveries=len(found)), entity, loaded_at), entity, existing
+        with_lineage(_without_bad(typed, len(found)), entity, loaded_at), entity, existing, first_id=first_id
     )
     incomplete = [(d.path, "missing column " + ", ".join(missing_columns(d))) for d in found if missing_columns(d)]
     named = deliveries.where((F.col("table_name") == entity) & F.col("reason").isNotNull()).select("delivery", "reason")
     rejects = named.unionByName(
         spark.createDataFrame(incomplete, "delivery string, reason string")
-    ).unionByName(bad_deliveries(raw, entity).select("delivery", F.lit("bad value").alias("reason")))
-    return Load(entity, rows, rejects)
+    ).unionByName(_bad(typed).select("delivery", F.lit("bad value").alias("reason")))
+    return Load(entity, rows, rejects, found)
 
 
 def append(rows: DataFrame, folder: str, entity: str) -> None:

@@ -1,17 +1,20 @@
 """Staging and silver tables of one entity on plain parquet.
 
-    <folder>/<table>/run=<n>/kind=current    open rows after run n: pending staging, active silver
-    <folder>/<table>/run=<n>/kind=settled    rows run n settled: processed staging, closed versions
-    <folder>/commits                         one row per committed run: the newest run of each table
-
-A run reads the newest committed current rows and writes the next ones beside them, so no path
-is overwritten while it is read and settled rows are never rewritten.  Both tables of a run
-become visible together, with its commit row.  A run that failed half-way is written again
-under its number; input that has been committed (same label) is skipped.  One writer per entity.
+    <folder>/<table>/<attempt>/kind=current    rows that were open when the attempt was written
+    <folder>/<table>/<attempt>/kind=settled    rows it settled: processed staging, closed versions
+    <folder>/commits                           one row per committed run
+
+Every attempt to write has a folder of its own, and a commit row names the attempts that count: those
+with the open rows of each table from now on, and those with rows this run settled.  What a failed
+run leaves behind is named nowhere and never read; ``vacuum`` removes it.  A load adds its rows as a further
+attempt, a merge replaces the open ones.  Both tables of a run become visible together.  One writer per entity.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,22 +23,29 @@ from pyspark.sql import types as T
 from stratum.schemas import empty, silver_schema, staging_schema
 from stratum.session import prepare
 
+STAGING, SILVER, REFUSED = "staging", "silver", "refused"
+
+_NAMES = T.ArrayType(T.StringType())
 _COMMIT = T.StructType(
     [
         T.StructField("run", T.LongType()),
         T.StructField("label", T.StringType()),
-        T.StructField("staging", T.LongType()),
-        T.StructField("silver", T.LongType()),
+        *[T.StructField(t, _NAMES) for t in (STAGING, SILVER, REFUSED)],
+        *[T.StructField(f"settled_{t}", _NAMES) for t in (STAGING, SILVER, REFUSED)],
+        T.StructField("deliveries", _NAMES),
+        T.StructField("last_row_id", T.LongType()),
     ]
 )
 
-STAGING, SILVER = "staging", "silver"
-
 
 class EntityStore:
     def __init__(self, spark: SparkSession, folder: str, entity: str):
         self.spark, self.folder = prepare(spark), f"{folder.rstrip('/')}/{entity}"
-        self.schemas = {STAGING: staging_schema(entity), SILVER: silver_schema(entity)}
+        staging = staging_schema(entity)
+        refused = T.StructType([*staging.fields, T.StructField("reason", T.StringType())])
+        self.schemas = {STAGING: staging, SILVER: silver_schema(entity), REFUSED: refused}
+
+    # --- commits --------------------------------------------------------------------------
 
     def commits(self) -> DataFrame:
         try:
@@ -47,54 +57,110 @@ class EntityStore:
 
     def _last(self) -> T.Row:
         newest = self.commits().orderBy(F.col("run").desc()).limit(1).collect()
-        return newest[0] if newest else T.Row(run=0, label=None, staging=0, silver=0)
+        return newest[0] if newest else T.Row(run=0, staging=[], silver=[], refused=[], last_row_id=0)
 
     def has(self, label: str) -> bool:
-        return not self.commits().where(F.col("label") == label).isEmpty()
+        """Whether a run of this label has been committed and nothing has been loaded since."""
+        newest = self.commits().agg(
+            F.max(F.when(F.col("label") == label, F.col("run"))),
+            F.coalesce(F.max(F.when(F.size("deliveries") > 0, F.col("run"))), F.lit(0)),
+        ).first()
+        return newest[0] is not None and newest[0] > newest[1]
+
+    def deliveries(self) -> DataFrame:
+        """Paths of all deliveries that have been loaded."""
+        return self.commits().select(F.explode("deliveries").alias("delivery"))
 
-    def _rows(self, table: str, *, current: bool, settled: bool) -> DataFrame:
-        schema, run = self.schemas[table], self._last()[table]
-        if run == 0:
+    def last_row_id(self) -> int:
+        return self._last().last_row_id or 0
+
+    # --- rows -----------------------------------------------------------------------------
+
+    def _read(self, table: str, folders: Iterable[str]) -> DataFrame:
+        schema, paths = self.schemas[table], [f"{self.folder}/{table}/{f}" for f in folders]
+        if not paths:
             return empty(self.spark, schema)
-        stored = T.StructType(
-            [*schema.fields, T.StructField("run", T.LongType()), T.StructField("kind", T.StringType())]
-        )
-        of_run, kind = F.col("run"), F.col("kind")
-        wanted = F.lit(False)
-        if current:
-            wanted = wanted | ((of_run == run) & (kind == "current"))
-        if settled:
-            wanted = wanted | ((of_run <= run) & (kind == "settled"))
-        rows = self.spark.read.schema(stored).parquet(f"{self.folder}/{table}")
-        return rows.where(wanted).select(*schema.fieldNames())
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def _open(self, table: str) -> list[str]:
+        return [f"{a}/kind=current" for a in self._last()[table]]
+
+    def _closed(self, table: str) -> list[str]:
+        named = self.commits().select(F.explode(f"settled_{table}").alias("attempt")).collect()  # one per run
+        return [f"{r.attempt}/kind=settled" for r in named]
 
     def current(self, table: str) -> DataFrame:
-        return self._rows(table, current=True, settled=False)
+        return self._read(table, self._open(table))
 
     def settled(self, table: str) -> DataFrame:
-        return self._rows(table, current=False, settled=True)
+        return self._read(table, self._closed(table))
 
     def read(self, table: str) -> DataFrame:
-        return self._rows(table, current=True, settled=True)
+        return self._read(table, [*self._open(table), *self._closed(table)])
+
+    def commit(self, label: str, *, added: bool = False, deliveries: Iterable[str] = (), **tables: DataFrame) -> int:
+        """Store open and newly settled rows of ``staging``, ``silver`` and/or ``refused``.
 
-    def commit(self, label: str, **tables: DataFrame) -> int:
-        """Store new open rows and newly settled rows of ``staging`` and/or ``silver``."""
-        if self.has(label):
-            return self._last().run
+        With ``added`` they come to the open rows there are, else they replace them.
+        """
         last = self._last()
-        run, newest = last.run + 1, {STAGING: last.staging, SILVER: last.silver}
+        row = {t: list(last[t]) for t in self.schemas} | {f"settled_{t}": [] for t in self.schemas}
+        newest_id = last.last_row_id or 0
         for table, rows in tables.items():
-            if "active" in rows.columns:
-                settled = ~F.coalesce(F.col("active"), F.lit(False))
-            elif "merge_status" in rows.columns:
-                settled = F.col("merge_status") != 0
-            else:
-                settled = F.lit(False)
-            kind = F.when(settled, "settled").otherwise("current").alias("kind")
-            rows.select(*self.schemas[table].fieldNames(), kind).write.mode("overwrite").partitionBy("kind").parquet(
-                f"{self.folder}/{table}/run={run}"
-            )
-            newest[table] = run
-        row = (run, label, newest[STAGING], newest[SILVER])
-        self.spark.createDataFrame([row], _COMMIT).coalesce(1).write.mode("append").parquet(f"{self.folder}/commits")
-        return run
+            attempt = f"run={last.run + 1}-{uuid.uuid4().hex[:12]}"
+            path = f"{self.folder}/{table}/{attempt}"
+            rows.select(*self.schemas[table].fieldNames(), _settled(rows, table).alias("kind")).write.partitionBy("kind").parquet(path)
+            if self._exists(f"{path}/kind=settled"):
+                row[f"settled_{table}"] = [attempt]
+            written = [attempt] if self._exists(f"{path}/kind=current") else []
+            row[table] = row[table] + written if added else written
+            if added and table == STAGING and written:
+                newest_id = max(newest_id, self._read(table, [f"{attempt}/kind=current"]).agg(F.max("row_id")).first()[0])
+        values = {"run": last.run + 1, "label": label, "deliveries": list(deliveries), "last_row_id": newest_id} | row
+        commit = self.spark.createDataFrame([tuple(values[f.name] for f in _COMMIT)], _COMMIT)
+        commit.coalesce(1).write.mode("append").parquet(f"{self.folder}/commits")
+        return last.run + 1
+
+    # --- files ----------------------------------------------------------------------------
+
+    def _path(self, path: str):
+        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return jvm_path, jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _exists(self, path: str) -> bool:
+        at, files = self._path(path)
+        return files.exists(at)
+
+    def remove(self, path: str) -> None:
+        at, files = self._path(path)
+        files.delete(at, True)
+
+    def vacuum(self) -> list[str]:
+        """Remove what no later read needs: attempts without a commit, and open rows that have been replaced.
+
+        Not while another process reads or writes the entity.  Returns the removed folders.
+        """
+        gone = []
+        for table in self.schemas:
+            kept = {*self._open(table), *self._closed(table)}
+            top, files = self._path(f"{self.folder}/{table}")
+            for attempt in files.listStatus(top) if files.exists(top) else []:
+                name = attempt.getPath().getName()
+                own = [f"{name}/kind={k}" for k in ("current", "settled")]
+                old = [o for o in own if o not in kept and self._exists(f"{self.folder}/{table}/{o}")]
+                gone += [name] if not kept & {*own} else old
+                for path in gone[-1:] if not kept & {*own} else old:
+                    self.remove(f"{self.folder}/{table}/{path}")
+        return gone
+
+
+def _settled(rows: DataFrame, table: str):
+    if table == REFUSED:
+        settled = F.lit(True)
+    elif "active" in rows.columns:
+        settled = ~F.coalesce(F.col("active"), F.lit(False))
+    elif "merge_status" in rows.columns:
+        settled = F.col("merge_status") != 0
+    else:
+        settled = F.lit(False)
+    return F.when(settled, "settled").otherwise("current")

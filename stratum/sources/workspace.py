@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -13,12 +15,14 @@ _SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests, a temporary folder is made and used instead.
+    Only where that is unset in a local session, as in tests, a temporary folder is made and used instead; it
+    is removed when the process ends.
     """
     root = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_SETTING} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="stratum-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set(_SETTING, root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"

@@ -95,16 +95,85 @@ def test_same_label_changes_nothing(spark, batch):
     assert (content(store.read(SILVER)), store.commits().count()) == before
 
 
-def test_run_without_commit_is_invisible_and_repeated(spark, batch, tmp_path):
-    """A run that wrote its files but no commit row, as after a lost driver."""
-    store = batch.stores["flavours"]
-    before = content(store.read(SILVER))
-    run = store._last().run + 1
-    half = store.current(SILVER).limit(1).selectExpr("*", "'current' AS kind")
-    half.write.partitionBy("kind").parquet(f"{store.folder}/silver/run={run}")
-    assert content(store.read(SILVER)) == before
-    assert store.commit("again", silver=store.current(SILVER)) == run
-    assert content(store.read(SILVER)) == before
+def test_run_without_commit_is_never_read(spark, tmp_path):
+    """A merge that wrote its files but no commit row, then another load, then the merge again."""
+    layers, plain = (Layers(spark, str(tmp_path / n)) for n in ("failed", "plain"))
+    for day in range(2):
+        land(tmp_path / f"landing{day}", day)
+    found = [landing.manifest(landing.list_files(spark, str(tmp_path / f"landing{d}"))).where("table_name = 'customers'") for d in range(2)]
+    for x in (layers, plain):
+        x.ingest(found[0], DAY, "a")
+        x.merge("customers", "a")
+    store = layers.stores["customers"]
+    settled = store.current(SILVER).selectExpr("*", "'settled' AS kind")
+    settled.write.partitionBy("kind").parquet(f"{store.folder}/silver/run={store._last().run + 1}-lost")
+    for x in (layers, plain):
+        x.ingest(found[1], DAY + timedelta(days=1), "b")
+        x.merge("customers", "b")
+    assert content(store.read(SILVER)) == content(plain.silver("customers"))
+    before = content(store.read(SILVER)), content(store.read(STAGING))
+    assert any("lost" in f for f in store.vacuum())
+    assert (content(store.read(SILVER)), content(store.read(STAGING))) == before
+    assert store.vacuum() == []
+
+
+def test_deliveries_are_loaded_once_whatever_the_label(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path / "store"))
+    land(tmp_path / "landing", 0)
+    found = lambda: landing.manifest(landing.list_files(spark, str(tmp_path / "landing"))).where("table_name = 'customers'")
+    layers.ingest(found(), DAY, "a")
+    layers.merge("customers", "a")
+    folder = tmp_path / "landing" / "20240506"
+    (folder / "Customers_20240506_2.csv").write_text("index,customer_id,name,location_city,location_country\n4,9,eve,bern,ch\n")
+    refused = dict(layers.ingest(found(), DAY + timedelta(hours=1), "a"))["customers"].collect()
+    assert [(os.path.basename(r.delivery), r.reason) for r in refused] == [("Customers_20240506_1.csv", "already loaded")]
+    layers.merge("customers", "a")
+    assert {r.customer_id for r in layers.silver("customers").collect()} == {1, 2, 9}
+    layers.ingest(found(), DAY + timedelta(hours=2), "b")
+    assert layers.staging("customers").count() == 3
+    assert len({r.row_id for r in layers.staging("customers").collect()}) == 3
+
+
+def test_rejected_delivery_may_come_again_and_quotes_are_read(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path / "store"))
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    bad = {
+        "Flavours_20240506_1.csv": "flavour_id,name,description\n1,mint\n",
+        "Flavours_20240506_2.csv": "flavour_id,name,description\n2,lime,sour,EXTRA\n",
+        "Flavours_20240506_3.csv": 'flavour_id,name,description\n3,"two\nlines",x\n',
+        "Flavours_20240506_4.csv": 'flavour_id,name,description\n4,"say ""hi"", you",x\n',
+    }
+    for name, text in bad.items():
+        (folder / name).write_text(text)
+    found = lambda: landing.manifest(landing.list_files(spark, str(folder)))
+    refused = dict(layers.ingest(found(), DAY, "a"))["flavours"].collect()
+    assert sorted(os.path.basename(r.delivery)[-5] for r in refused if r.reason == "bad value") == ["1", "2", "3"]
+    assert [r.name for r in layers.staging("flavours").collect()] == ['say "hi", you']
+    (folder / "Flavours_20240506_1.csv").write_text("flavour_id,name,description\n1,mint,fresh\n")
+    layers.ingest(found(), DAY, "a")
+    assert {r.flavour_id for r in layers.staging("flavours").collect()} == {1, 4}
+
+
+def test_clean_merge_keeps_what_it_refuses(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path / "store"))
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    (folder / "Flavours_20240506_1.csv").write_text("flavour_id,name,description\n1,mint,fresh\n,nokey,x\n")
+    layers.ingest(landing.manifest(landing.list_files(spark, str(folder))), DAY, "a")
+    assert [(r.name, r.reason) for r in layers.merge("flavours", "a").collect()] == [("nokey", "null key")]
+    (folder / "Flavours_20240506_2.csv").write_text("flavour_id,name,description\n1,late,x\n2,lime,sour\n")
+    layers.ingest(landing.manifest(landing.list_files(spark, str(folder))), DAY - timedelta(days=1), "b")
+    assert [(r.name, r.reason) for r in layers.merge("flavours", "b").collect()] == [("late", "late")]
+    assert layers.refused("flavours").count() == 2 and layers.silver("flavours").count() == 2
+    assert layers.unprocessed("flavours").count() == 0
+
+
+def test_gold_sink_is_ordered_by_month(spark, batch, tmp_path):
+    batch.write_gold(str(tmp_path / "gold"))
+    assert sorted(f for f in os.listdir(tmp_path / "gold") if "=" in f) == ["month=2024-05"]
+    assert content(spark.read.parquet(str(tmp_path / "gold")).drop("month")) == content(batch.gold())
+    quality.enforce(batch.check_gold())
 
 
 def test_settled_rows_are_not_written_again(batch):
@@ -148,6 +217,5 @@ def test_stream_equals_batch_and_reads_files_once(spark, batch, tmp_path):
         assert content(layers.staging(entity)) == content(batch.staging(entity)), entity
     keys = lambda x: {(r.transaction_id, r.customer_id) for r in x.silver("salestransactions").collect()}
     assert keys(layers) == keys(batch)
-    # The first day's files have moved once the second batch was complete.
     archived = [f for _, _, fs in os.walk(tmp_path / "ingested") for f in fs]
     assert "Customers_20240506_1.csv" in archived
