@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack
 
 import ahocorasick
 import numpy as np
@@ -22,7 +24,7 @@ PATTERN = (
 )
 
 #: Pieces whose ids a worker remembers, and pairs of tokens whose compatibility it does.
-REMEMBERED, REMEMBERED_PAIRS = 200_000, 2_000_000
+REMEMBERED, REMEMBERED_PAIRS = 150_000, 2_000_000
 
 _NEVER = 1 << 60
 
@@ -65,7 +67,9 @@ class Codec(dict):
         self.matches.make_automaton()
         self.split = regex.compile(PATTERN).findall
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self._pairs: dict[int, bool] = {}
+        self._older: dict[str, bytes] = {}
+        self._pairs: dict[int, dict[int, bool]] = defaultdict(dict)
+        self._known_pairs = 0
         self._whole: dict[int, bool] = {}
         self._edges: tuple[dict[int, list], dict[int, list]] = {}, {}
 
@@ -90,8 +94,7 @@ class Codec(dict):
         boundary live for ranges of ranks.  A merge across it happens if its rank comes before the merges that
         end its two sides; of equal merges the one further left is first.
         """
-        key = left << 32 | right
-        known = self._pairs.get(key)
+        known = self._pairs[left].get(right)
         if known is None:
             known, starts, ranks = True, self._edge(right, 0), self.ranks
             for a, a_end in self._edge(left, 1):
@@ -102,9 +105,11 @@ class Codec(dict):
                         break
                 if not known:
                     break
-            if len(self._pairs) >= REMEMBERED_PAIRS:
+            self._known_pairs += 1
+            if self._known_pairs >= REMEMBERED_PAIRS:
                 self._pairs.clear()
-            self._pairs[key] = known
+                self._known_pairs = 0
+            self._pairs[left][right] = known
         return known
 
     def whole(self, token: int) -> bool:
@@ -128,17 +133,20 @@ class Codec(dict):
 
     def piece(self, data: bytes) -> list[int]:
         last = [-1] * (len(data) + 1)
-        lengths, pairs = self.lengths, self._pairs
+        lengths, pairs, whole = self.lengths, self._pairs, self._whole
         for end, token in self.matches.iter(data.decode("latin-1")):
-            start = end + 1 - lengths[token]
+            end += 1
+            if last[end] >= 0:  # the longest match comes first and mostly is the one
+                continue
+            start = end - lengths[token]
             if start == 0:
-                if self.whole(token):
-                    last[end + 1] = token
+                if whole.get(token) or self.whole(token):
+                    last[end] = token
             else:
                 before = last[start]
-                known = pairs.get(before << 32 | token)
-                if known or known is None and before >= 0 and self.compatible(before, token):
-                    last[end + 1] = token
+                known = pairs[before].get(token)
+                if known or known is None and self.compatible(before, token):
+                    last[end] = token
         ids, at = [], len(data)
         while at:
             ids.append(last[at])
@@ -146,9 +154,13 @@ class Codec(dict):
         return ids[::-1]
 
     def __missing__(self, text: str) -> bytes:
-        ids = np.array(self.piece(text.encode()), np.int32).tobytes()
+        ids = self._older.get(text)
+        if ids is None:
+            found = self.piece(text.encode())
+            ids = pack(f"{len(found)}i", *found)
         if len(text) <= 64:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED:  # what is still in use comes back from the older ones
+                self._older = dict(self)
                 self.clear()
             self[text] = ids
         return ids
