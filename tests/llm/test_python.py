@@ -167,6 +167,26 @@ def test_near_duplicates(spark, monkeypatch, small):
     assert one.columns == df.columns and {r.doc_id for r in one.collect()} == set(groups)
 
 
+def test_links_connect_all_that_share_one_band(spark):
+    """Two chains of 110 variants in one bucket that no other band splits: links connect them as brute force does."""
+    rnd = random.Random(1)
+    rows = []
+    for _ in range(2):
+        w = words(rnd, 400).split(" ")
+        rows += [" ".join(w[2 * i : 2 * i + 60]) for i in range(110)]
+    rows = list(enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    texts = minhash._text_rows(df).withColumn("_row", minhash._row_hash())
+    idf = minhash.frequencies(df)
+    signed = minhash._signed(texts.select("_md5", "_salt", "_row", F.col("_rest.doc_id").alias("_id"), "_text"), idf)
+    signed = signed.withColumn("_bands", F.array(F.lit(7).cast("long"), *[F.xxhash64("_md5", F.lit(j)) for j in range(9)])).cache()
+    node = {bytes(r._md5): r._id for r in signed.collect()}
+    got = collections.defaultdict(set)
+    for r in minhash.components(minhash.links(df, signed, idf)).collect():
+        got[bytes(r.root)].add(node[bytes(r.node)])
+    assert {frozenset(g) for g in got.values()} == _classes(rows) == {frozenset(range(110)), frozenset(range(110, 220))}
+
+
 def test_near_duplicates_edges(spark):
     out = minhash.near_duplicates(edge_documents(spark)).collect()
     assert len(out) == len(edge_rows())
