@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,42 +102,64 @@ def calibrate(
 ) -> DataFrame:
     """One row per stratum with a ``cutoffs`` struct of one value per rule (infinite: no cutoff is safe).
 
-    ``good``: ``stratum`` and ``_m`` of the holdout's good documents.  Each rule has an equal share of the
-    allowed false rejection.  A cutoff is safe if so few rejections would have a probability of at most
-    its share of the risk were the true rate above that (exact binomial test).  The risk is divided by
-    the number of strata and rules (Bonferroni); along a rule's ladder the tests run from lenient to strict and
-    stop at the first that fails, which needs no further correction.
+    ``good``: ``stratum`` and ``_m`` of the holdout's good documents.  A setting is safe if so few rejections would
+    have a probability of at most its share of the risk were the true rate above the allowed one (exact binomial test).
+    Two families of settings have half of the risk each.  In the first every rule has its own ladder and an equal
+    share of the allowed false rejection and of the risk.  In the second all rules go up their ladders together, and
+    the documents that any of them rejects are tested against the whole of it, which needs a quarter of the documents.
+    Tests of a ladder run from lenient to strict and stop at the first that fails, which needs no further correction.
+    The second counts where the first has no cutoff.  The risk is divided by the number of strata and one more (Bonferroni):
+    the row with a null stratum is about all of them together, for strata that are not ``powered``: too small for any
+    setting to pass even without a rejection.
     """
-    alpha = max_false_rejection / len(RULES)
     value = scores(F.col("_m"))
-    counted = stored(
-        good.groupBy("stratum").agg(
-            F.count("*").alias("n"),
-            *[F.count_if(value[r] > c).alias(f"{r}_{i}") for r, ladder in RULES.items() for i, c in enumerate(ladder)],
-        ),
-        "rule-counts",
+    steps = max(len(ladder) for ladder in RULES.values())
+    at = lambda ladder, i: ladder[min(i, len(ladder) - 1)]
+    any_above = [reduce(or_, [value[r] > at(ladder, i) for r, ladder in RULES.items()]) for i in range(steps)]
+    own = good.groupBy("stratum").agg(
+        F.count("*").alias("n"),
+        *[F.count_if(value[r] > c).alias(f"{r}_{i}") for r, ladder in RULES.items() for i, c in enumerate(ladder)],
+        *[F.count_if(above).alias(f"any_{i}") for i, above in enumerate(any_above)],
     )
-    limit = risk / (max(counted.count(), 1) * len(RULES))
-    chosen = []
-    for rule, ladder in RULES.items():
+    own = stored(own, "rule-counts")
+    together = own.agg(F.lit(None).cast("string").alias("stratum"), *[F.sum(c).cast("long").alias(c) for c in own.columns[1:]])
+    counted = own.unionByName(together.where("n > 0"))
+    limit = risk / (2 * (own.count() + 1))
+    powered = binomial_tail(F.lit(0).cast("long"), F.col("n"), max_false_rejection) <= limit
+    tails = counted.select(
+        "stratum", powered.alias("powered"),
+        *[
+            binomial_tail(F.col(f"{r}_{i}"), F.col("n"), max_false_rejection / len(RULES)).alias(f"_p_{r}_{i}")
+            for r, x in RULES.items() for i in range(len(x))
+        ],
+        *[binomial_tail(F.col(f"any_{i}"), F.col("n"), max_false_rejection).alias(f"_p_any_{i}") for i in range(steps)],
+    )
+
+    def climbed(name: str, ladder: Sequence[float], most: float) -> Column:
         cutoff, safe = F.lit(float("inf")), F.lit(True)
         for i, c in enumerate(ladder):
-            safe = safe & (F.col(f"_p_{rule}_{i}") <= limit)
+            safe = safe & (F.col(f"_p_{name}_{i}") <= most)
             cutoff = F.when(safe, c).otherwise(cutoff)
-        chosen.append(cutoff.alias(rule))
-    tails = counted.select(
-        "stratum",
-        *[binomial_tail(F.col(f"{r}_{i}"), F.col("n"), alpha).alias(f"_p_{r}_{i}") for r, x in RULES.items() for i in range(len(x))],
-    )
-    return stored(tails.select("stratum", F.struct(*chosen).alias("cutoffs")), "rule-cutoffs")
+        return cutoff
+
+    alone = {r: climbed(r, ladder, limit / len(RULES)) for r, ladder in RULES.items()}
+    joint = {r: climbed("any", [at(ladder, i) for i in range(steps)], limit) for r, ladder in RULES.items()}
+    none = reduce(and_, [x == float("inf") for x in alone.values()])
+    chosen = [F.when(none, joint[r]).otherwise(alone[r]).alias(r) for r in RULES]
+    return stored(tails.select("stratum", F.struct(*chosen).alias("cutoffs"), "powered"), "rule-cutoffs")
 
 
 def judged(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
-    """Add ``base_failed`` and ``kept`` to rows with ``stratum`` and ``_m``; strata without cutoffs fail the base only."""
-    few = cutoffs.count() <= _BROADCAST_STRATA
-    joined = (
-        rows.join(F.broadcast(cutoffs), "stratum", "left") if few else salted_join(rows, cutoffs, ["stratum"], "left")
-    )
+    """Add ``base_failed`` and ``kept`` to rows with ``stratum`` and ``_m``.
+
+    Strata too small for a test of their own, also those without labels, have the pooled cutoffs, whose bound holds over
+    all strata together only.  A stratum that is large enough and whose tests failed has no cutoff.
+    """
+    pooled = cutoffs.where("stratum IS NULL").select(F.col("cutoffs").alias("_pooled"))
+    own = cutoffs.where("stratum IS NOT NULL AND powered").select("stratum", "cutoffs")
+    few = own.count() <= _BROADCAST_STRATA
+    joined = rows.join(F.broadcast(own), "stratum", "left") if few else salted_join(rows, own, ["stratum"], "left")
+    joined = joined.join(F.broadcast(pooled), how="left").withColumn("cutoffs", F.coalesce("cutoffs", "_pooled")).drop("_pooled")
     m = F.col("_m")
     above = F.lit(False)
     for rule, score in scores(m).items():

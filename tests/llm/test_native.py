@@ -150,6 +150,20 @@ def test_cutoffs_are_safe_and_useful(spark):
     assert all(out[i] for i in range(1, 6000, 2))
 
 
+def test_small_strata_have_cutoffs(spark):
+    """400 good documents of a language are enough for its own cutoffs; 30 of another share the pooled ones."""
+    rnd = random.Random(6)
+    rows, marks = [], []
+    for i in range(480):
+        junk = i % 10 == 0
+        w = [x + "##" if junk else x for x in words(rnd, 15).split(" ")]
+        rows.append((i, " ".join(w), "de" if i < 445 else "eu"))
+        marks.append((i, int(not junk), 0, 0))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    out = {r.doc_id: r.kept for r in quality_rules.rated(df, labels(spark, marks)).collect()}
+    assert out == {i: i % 10 != 0 for i in range(480)}
+
+
 def _mix(rows: list[tuple], weights=(1, 2, 3), most=3) -> dict:
     sized = [(r[0], r[3], len(WORD.findall(r[1] or ""))) for r in rows]
     total = collections.Counter()
