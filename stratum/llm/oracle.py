@@ -60,3 +60,44 @@ SELECT p.doc_id, p.size, r.s AS source_size, r.target,
   (r.n * p.size + least(greatest(r.budget - r.n * r.s - p.off, 0), p.size))::BIGINT AS taken
 FROM placed p JOIN rounds r ON p.source IS NOT DISTINCT FROM r.source
 """
+
+OP11_RESAMPLING = r"""
+WITH shifts AS (
+  SELECT list(c ORDER BY n) AS tab FROM (
+    SELECT n, list_reduce([n] || [0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM range(0, 256) r(n))),
+numbered AS (SELECT row_number() OVER () AS i, doc_id, text FROM documents),
+texts AS (SELECT i, text FROM numbered UNION ALL SELECT -1, text FROM benchmark),
+words AS (
+  SELECT i, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM texts),
+counted AS (SELECT i, w, count(*) AS n FROM words GROUP BY i, w),
+codes AS (
+  SELECT w, xor(list_reduce(
+      [4294967295] || list_transform(string_split(regexp_replace(hex(w), '(..)', '\1 ', 'g'), ' ')[:-2], lambda x: ('0x' || x)::BIGINT),
+      lambda c, b: xor(c // 256, tab[(xor(c, b) % 256 + 1)::INTEGER])), 4294967295) % 10000 AS b
+  FROM (SELECT DISTINCT w FROM counted), shifts),
+features AS (SELECT i, b, sum(n)::BIGINT AS n FROM counted JOIN codes USING (w) GROUP BY i, b),
+sums AS (
+  SELECT b, coalesce(sum(n) FILTER (i >= 0), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (i < 0), 0)::DOUBLE AS t
+  FROM features GROUP BY b),
+gains AS (
+  SELECT b, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM sums) + 10000) / ((s + 1) * ((SELECT sum(t) FROM sums) + 10000)))) AS g
+  FROM sums),
+weights AS (
+  SELECT i, sum(n)::BIGINT AS n_features, floor(sum(n * g) / sum(n))::BIGINT AS weight
+  FROM features JOIN gains USING (b) GROUP BY i),
+scores AS (
+  SELECT i, doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((
+      ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+  FROM numbered LEFT JOIN weights USING (i)),
+ranks AS (
+  SELECT i, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, n_features) AS r, count(*) OVER () AS n
+  FROM scores WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= n * 10 // 100 THEN r END AS rank
+FROM scores LEFT JOIN ranks USING (i)
+"""

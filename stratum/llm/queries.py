@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, fingerprints, language_id, minhash, mixture, oracle, pseudo_likelihood, quality_rules, shards, suffix_dedup, warc
+from stratum.llm import bpe, fingerprints, language_id, minhash, mixture, oracle, pseudo_likelihood, quality_rules, resampling, shards, suffix_dedup, warc
 from stratum.session import prepare
 
 
@@ -77,13 +77,17 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     known = (
         op1_scaled_sketch, op2_suffix_dedup, op3_byte_shards, op4_pseudo_likelihood, op5_language_id, op6_bpe, op7_warc,
-        op8_quality_rules, op9_mixture, op10_minhash,
+        op8_quality_rules, op9_mixture, op10_minhash, op11_resampling,
     )
     return {f.__name__: f for f in known}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_byte_shards": oracle.OP3_BYTE_SHARDS, "op9_mixture": oracle.OP9_MIXTURE}
+    return {"op3_byte_shards": oracle.OP3_BYTE_SHARDS, "op9_mixture": oracle.OP9_MIXTURE, "op11_resampling": oracle.OP11_RESAMPLING}
