@@ -101,3 +101,25 @@ ranks AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN r <= n * 10 // 100 THEN r END AS rank
 FROM scores LEFT JOIN ranks USING (i)
 """
+
+OP13_HARD_NEGATIVES = """
+WITH usable AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding FROM embeddings)
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score
+  FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+ranked AS (
+  SELECT p.anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS rank
+  FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT same
+    AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""

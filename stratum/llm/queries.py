@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, fingerprints, language_id, minhash, mixture, oracle, pseudo_likelihood, quality_rules, resampling, shards, suffix_dedup, warc
+from stratum.llm import bpe, fingerprints, hard_negatives, language_id, minhash, mixture, oracle, pseudo_likelihood, quality_rules, resampling, shards, suffix_dedup, warc
 from stratum.session import prepare
 
 
@@ -81,13 +81,23 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(rows.withColumn("label", moved))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     known = (
         op1_scaled_sketch, op2_suffix_dedup, op3_byte_shards, op4_pseudo_likelihood, op5_language_id, op6_bpe, op7_warc,
         op8_quality_rules, op9_mixture, op10_minhash, op11_resampling,
+        op13_hard_negatives,
     )
     return {f.__name__: f for f in known}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_byte_shards": oracle.OP3_BYTE_SHARDS, "op9_mixture": oracle.OP9_MIXTURE, "op11_resampling": oracle.OP11_RESAMPLING}
+    return {
+        "op3_byte_shards": oracle.OP3_BYTE_SHARDS, "op9_mixture": oracle.OP9_MIXTURE,
+        "op11_resampling": oracle.OP11_RESAMPLING, "op13_hard_negatives": oracle.OP13_HARD_NEGATIVES,
+    }
