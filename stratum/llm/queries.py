@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, fingerprints, hard_negatives, language_id, minhash, mixture, oracle, pseudo_likelihood, quality_rules, resampling, shards, suffix_dedup, warc
+from stratum.llm import bpe, fingerprints, hard_negatives, language_id, minhash, mixture, oracle, personal_data, pseudo_likelihood, quality_rules, resampling, shards, suffix_dedup, warc
 from stratum.session import prepare
 
 
@@ -81,6 +81,17 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts are of base spans; ``spans`` has the added ones too."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.find(documents, personal_data.fit(documents))
+    named = lambda rows: F.array_join(F.transform(rows, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = found.withColumn("base", F.filter("spans", lambda s: s["base"]))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in personal_data.KINDS]
+    return base.select("doc_id", *counts, F.sha2(named(F.col("base")), 256).alias("base_sha256"), named(F.col("spans")).alias("spans"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -91,7 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     known = (
         op1_scaled_sketch, op2_suffix_dedup, op3_byte_shards, op4_pseudo_likelihood, op5_language_id, op6_bpe, op7_warc,
         op8_quality_rules, op9_mixture, op10_minhash, op11_resampling,
-        op13_hard_negatives,
+        op12_personal_data, op13_hard_negatives,
     )
     return {f.__name__: f for f in known}
 
