@@ -1,9 +1,10 @@
 """Neighbours and running totals along time, per key, when one key may hold most of the rows.
 
-Without hot keys these are plain windows.  A hot key is cut into equal time slices: windows are
-partitioned by key *and* slice, and what a slice needs from the slices before or after it
-travels in a summary with one row per slice of a hot key.  The summary has about
-``2 * rows / hot_rows`` rows, so it may be broadcast.
+Without hot keys these are plain windows.  A hot key is cut into time slices with about the same
+number of rows: windows are partitioned by key *and* slice, and what a slice needs from the slices
+before or after it travels in a summary with one row per slice of a hot key, which the rows join
+where they are.  Rows of one key and time are never divided, so callers bring one row, or a few, of
+each: many that tie are to be grouped beforehand.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ class KeyedSequence:
         self.rows, self.partition = rows, list(keys)
         if hot is not None:
             at = F.unix_micros(F.col(order).cast("timestamp"))
+            slice_ = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= at)), F.lit(0))
             self.partition.append(_SLICE)
             self.rows = (
                 rows.join(F.broadcast(hot), self.keys, "left")
-                .withColumn(_SLICE, F.coalesce(F.floor((at - F.col("_start")) / F.col("_width")), F.lit(0)))
-                .drop("_start", "_width")
+                .withColumn(_SLICE, F.when(F.col("_cuts").isNull(), 0).otherwise(slice_))
+                .drop("_cuts")
             )
 
     def _window(self, *ties: str) -> WindowSpec:
@@ -54,7 +56,7 @@ class KeyedSequence:
             .agg(summary.alias("_summary"))
             .select(*self.partition, carried(Window.partitionBy(*self.keys).orderBy(_SLICE)).alias("_carry"))
         )
-        joined = rows.join(F.broadcast(carry), self.partition, "left")
+        joined = rows.join(carry, self.partition, "left")
         return joined.withColumn(name, combine(F.col(name), F.col("_carry"))).drop("_carry")
 
     def previous(self, rows: DataFrame, value: Column, name: str) -> DataFrame:
@@ -101,13 +103,28 @@ class KeyedSequence:
             lambda inside, carry: inside + F.coalesce(carry, F.lit(0)),
         )
 
-    def dense_rank(self, rows: DataFrame, name: str) -> DataFrame:
-        """Position of the row's time among the different times of its key, from 1."""
+    def number(self, rows: DataFrame, name: str) -> DataFrame:
+        """Position of the row among those of its key, from 1; one row per key and time."""
         return self._scan(
             rows,
             name,
-            F.dense_rank().over(self._window()),
-            F.count_distinct(self.order),
+            F.row_number().over(self._window()),
+            F.count("*"),
             lambda slices: F.sum("_summary").over(slices.rowsBetween(Window.unboundedPreceding, -1)),
             lambda inside, carry: inside + F.coalesce(carry, F.lit(0)),
         )
+
+    def last_known(self, rows: DataFrame, value: Column, name: str) -> DataFrame:
+        """The newest ``value`` that is not NULL, up to and including the row; NULL before the first.
+
+        One row per key and time.
+        """
+        so_far = (Window.unboundedPreceding, Window.currentRow)
+        return self._scan(
+            rows,
+            name,
+            F.last(value, ignorenulls=True).over(self._window().rowsBetween(*so_far)),
+            F.max_by(value, F.when(value.isNotNull(), F.col(self.order))),
+            lambda slices: F.last("_summary", ignorenulls=True).over(slices.rowsBetween(Window.unboundedPreceding, -1)),
+            F.coalesce,
+        )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.operators.ordered import KeyedSequence
-from stratum.operators.skew import HOT_ROWS, LOOK, find_hot_ranges, no_null
+from stratum.operators.skew import HOT_ROWS, LOOK, find_hot, find_hot_ranges, no_null, skew_join
 from stratum.specs import SPECS
 
 INFO, WARNING, ERROR = "info", "warning", "error"
@@ -147,15 +147,21 @@ def overlap_keys(
 ) -> DataFrame:
     """Keys with versions that begin before an earlier one has ended, and how many do.
 
-    Current versions count as unending here.  One window pass; nothing is joined to itself.
+    Current versions count as unending here.  Versions of one key that begin together are grouped first: all
+    of them begin too early if an earlier version is still open, else all that outlast their begin but one, the
+    last to end.  One window pass over the groups; nothing is joined to itself.
     """
-    rows = silver.where(no_null([*keys, "valid_from"])).select(
+    ends = silver.where(no_null([*keys, "valid_from"])).select(
         *keys, "valid_from", F.coalesce(F.col("valid_to"), _forever()).alias("_end")
     )
-    hot = find_hot_ranges(rows, keys, "valid_from", hot_rows, look)
+    rows = ends.groupBy(*keys, "valid_from").agg(
+        F.max("_end").alias("_end"), F.count("*").alias("_all"), F.count_if(F.col("_end") > F.col("valid_from")).alias("_lasting")
+    )
+    hot = find_hot_ranges(ends, keys, "valid_from", hot_rows, look)
     sequence = KeyedSequence(rows, keys, "valid_from", hot)
-    seen = sequence.max_before(sequence.rows, "_end", "_end_before", "_end")
-    return seen.where("valid_from < _end_before").groupBy(*keys).agg(F.count("*").alias("n"))
+    seen = sequence.max_before(sequence.rows, "_end", "_end_before")
+    early = F.when(F.col("valid_from") < F.col("_end_before"), F.col("_all")).otherwise(F.greatest(F.col("_lasting") - 1, F.lit(0)))
+    return seen.groupBy(*keys).agg(F.sum(early).alias("n")).where("n > 0")
 
 
 def _rank_sums(marks: DataFrame, groups: Sequence[str], hot: DataFrame | None) -> DataFrame:
@@ -217,8 +223,11 @@ def overlap_pairs(
             *keys, F.col("valid_to").alias("at"), F.col("valid_from").alias("_other"), F.lit(1).alias("_bit")
         )
     )
-    sequence = KeyedSequence(marks, keys, "at", hot)
-    numbered = sequence.dense_rank(sequence.rows, "_at")
+    sequence = KeyedSequence(marks.select(*keys, "at").distinct(), keys, "at", hot)
+    numbers = sequence.number(sequence.rows, "_at").select(*keys, "at", "_at")
+    # A time can only be hot within a hot key.
+    hot_times = None if hot is None else find_hot(marks, [*keys, "at"], hot_rows, look)
+    numbered = skew_join(marks, numbers, [*keys, "at"], "inner", hot_times)
     most = marks.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(1))).scalar()
     levels = F.explode(F.sequence(F.lit(0), F.ceil(F.log2(most + 1)).cast("int"))).alias("_level")
     prefix = F.expr("shiftright(_at, _level)")

@@ -17,7 +17,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.operators.dedupe import pending
+from stratum.operators.dedupe import latest_per_key, pending
 from stratum.operators.ordered import KeyedSequence
 from stratum.operators.scd2 import split_history, to_silver_names
 from stratum.operators.skew import HOT_ROWS, LOOK, any_null, find_hot, find_hot_ranges, no_null, skew_join
@@ -87,11 +87,11 @@ class CleanMerge:
         )
         times = self._pending.select(*self.keys, F.col("inserted_at").alias("valid_from"))
         hot = find_hot_ranges(times, self.keys, "valid_from", self.hot_rows, self.look)
-        timeline = KeyedSequence(current.unionByName(fresh), self.keys, "valid_from", hot)
-        last_of_time = Window.partitionBy(*timeline.partition, "valid_from").orderBy(F.col("row_id").desc())
-        states = timeline.rows.withColumn("_rank", F.row_number().over(last_of_time)).where("_rank = 1").drop("_rank")
+        last_of_time = [F.col("row_id").desc()]
+        states = latest_per_key(current.unionByName(fresh), [*self.keys, "valid_from"], last_of_time)
+        timeline = KeyedSequence(states, self.keys, "valid_from", hot)
         state = F.struct(*self.tracked)
-        states = timeline.previous(states, state, "_previous")
+        states = timeline.previous(timeline.rows, state, "_previous")
         steps = states.where(F.col("_previous").isNull() | ~F.col("_previous").eqNullSafe(state))
         return timeline.next(steps, "valid_to").select(
             *self.keys,

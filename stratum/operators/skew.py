@@ -14,6 +14,9 @@ HOT_ROWS = 2_000_000
 # spread and never what comes out, so an estimate is enough; a hot key has 20,000 rows in it.
 LOOK = 0.01
 
+# So many keys are treated as hot at most, and a hot key is cut into so many slices at most.
+MAX_HOT, MAX_SLICES = 10_000, 500
+
 _SALTS, _SALT = "_salts", "_salt"
 
 
@@ -28,20 +31,16 @@ def no_null(columns: Sequence[str]) -> Column:
     return ~any_null(columns)
 
 
-def _estimate(rows: DataFrame, keys: Sequence[str], hot_rows: int, look: float, *more: Column) -> DataFrame | None:
+def _estimate(rows: DataFrame, keys: Sequence[str], hot_rows: int, look: float) -> DataFrame | None:
     """Hot keys with their estimated ``_n``, as a local table; None if there are none.
 
-    At most about ``rows / hot_rows`` keys can be hot, which bounds what reaches the driver and
-    what is broadcast afterwards.  The list is fixed in the plan, so a task that is run again
-    spreads its rows as before.
+    The list is fixed in the plan, so a task that is run again spreads its rows as before.  It holds the
+    ``MAX_HOT`` largest keys at most: any other key has less than one row in ``MAX_HOT`` of all, which no longer
+    holds a job up.  That bounds what reaches the driver and what is broadcast afterwards.
     """
     seen = rows.sample(fraction=look, seed=7) if look < 1 else rows
-    found = (
-        seen.groupBy(*keys)
-        .agg((F.count("*") / look).alias("_n"), *more)
-        .where(F.col("_n") > hot_rows)
-    )
-    hot = found.collect()
+    found = seen.groupBy(*keys).agg((F.count("*") / look).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = found.orderBy(F.col("_n").desc(), *keys).limit(MAX_HOT).collect()
     return rows.sparkSession.createDataFrame(hot, found.schema) if hot else None
 
 
@@ -56,15 +55,24 @@ def find_hot(
 def find_hot_ranges(
     rows: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS, look: float = LOOK
 ) -> DataFrame | None:
-    """Hot keys of ``rows`` with the start and width of equal slices of a timestamp column, or None."""
-    at = F.unix_micros(F.col(order).cast("timestamp"))
-    hot = _estimate(
-        rows.select(*keys, order), keys, hot_rows, look, F.min(at).alias("_start"), F.max(at).alias("_end")
-    )
+    """Hot keys of ``rows`` with ``_cuts``, times that divide each into slices of about equal row counts, or None.
+
+    The cuts are quantiles of a timestamp column as the sample has it, so that slices hold equal shares however
+    rows crowd in time.  Rows of one time stay together: they are to be grouped before they are sliced.
+    """
+    narrow = rows.select(*keys, order)
+    hot = _estimate(narrow, keys, hot_rows, look)
     if hot is None:
         return None
-    width = F.ceil((F.col("_end") - F.col("_start") + 1) / F.ceil(F.col("_n") / hot_rows))
-    return hot.select(*keys, "_start", F.greatest(width, F.lit(1)).alias("_width"))
+    seen = narrow.sample(fraction=look, seed=7) if look < 1 else narrow
+    own = seen.join(F.broadcast(hot.select(*keys)), list(keys), "left_semi")
+    at = F.unix_micros(F.col(order).cast("timestamp"))
+    places = [i / MAX_SLICES for i in range(1, MAX_SLICES)]
+    sketches = own.groupBy(*keys).agg(F.percentile_approx(at, places, 10 * MAX_SLICES).alias("_quantiles"))
+    step = F.greatest(F.floor(F.lit(MAX_SLICES) * hot_rows / F.col("_n")), F.lit(1)).cast("int")
+    cuts = F.array_distinct(F.filter("_quantiles", lambda _, i: (i + 1) % F.col("_step") == 0))
+    chosen = hot.withColumn("_step", step).join(F.broadcast(sketches), list(keys)).select(*keys, cuts.alias("_cuts"))
+    return rows.sparkSession.createDataFrame(chosen.collect(), chosen.schema)  # MAX_HOT rows of MAX_SLICES times at most
 
 
 def skew_join(

@@ -342,6 +342,25 @@ class GivenTables:
             _date("1990-01-01").alias("source_date"),
         )
 
+    # --- history of a dimension -------------------------------------------------------------
+
+    @cache
+    def flavour_history(self) -> DataFrame:
+        """Deliveries of a flavour as versions of where it comes from; several may begin together, some attributes
+        are NULL, and returned ones end a day before they begin."""
+        following = F.lead("l_shipdate").over(Window.partitionBy("l_partkey").orderBy("l_shipdate", "line_id"))
+        rows = self._lines().withColumn("following", following)
+        return rows.select(
+            F.col("l_partkey").alias("flavour_id"),
+            F.col("l_shipdate").alias("valid_from"),
+            _cases(
+                F.col("following"), (F.col("l_returnflag") == "R", F.expr("l_shipdate - INTERVAL '1' DAY"))
+            ).alias("valid_to"),
+            F.col("l_suppkey").alias("supplier_id"),
+            F.col("l_quantity").alias("quantity_liters"),
+            F.when(F.col("l_discount") > 0.02, F.col("l_linestatus")).alias("location"),
+        )
+
     def silver(self, entity: str) -> DataFrame:
         return getattr(self, f"{entity}_silver")()
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.functions import landing as lf
-from stratum.operators import dedupe, gold, quality, scd1, scd2, scd2_clean
+from stratum.operators import dedupe, gold, history, quality, scd1, scd2, scd2_clean
 from stratum.plans import deliveries
 from stratum.plans.given import GivenTables
 from stratum.schemas import LANDING, staging_name
@@ -20,6 +20,7 @@ from stratum.specs import HISTORY_ENTITIES, SPECS
 Query = Callable[[SparkSession, str], DataFrame]
 
 LOADED_AT = datetime(2024, 5, 8, 6, 0, 0)
+SNAPSHOT_AT = datetime(1996, 7, 1)
 
 
 def _on(build: Callable[[GivenTables], DataFrame]) -> Query:
@@ -164,6 +165,23 @@ def _quality_queries() -> dict[str, Query]:
     return out
 
 
+# --- history --------------------------------------------------------------------------------
+
+
+def asof_sales(g: GivenTables) -> DataFrame:
+    """Where the flavour of each sale came from on the day of the sale."""
+    sales = g.salestransactions_staging().select("row_id", "transaction_id", "flavour_id", "transaction_date")
+    return history.as_of(sales, g.flavour_history(), ["flavour_id"], "transaction_date")
+
+
+def _history_queries() -> dict[str, Query]:
+    return {
+        "history_asof_sales": _on(asof_sales),
+        "history_snapshot": _on(lambda g: history.snapshot(g.stocks_silver(), SNAPSHOT_AT)),
+        "history_change_log": _on(lambda g: history.change_log(g.flavour_history(), ["flavour_id"])),
+    }
+
+
 # --- bronze ---------------------------------------------------------------------------------
 
 
@@ -253,4 +271,4 @@ def _bronze_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    return _silver_queries() | _quality_queries() | _bronze_queries()
+    return _silver_queries() | _quality_queries() | _history_queries() | _bronze_queries()

@@ -46,19 +46,35 @@ def test_overlap_pairs_of_nothing(spark):
     assert quality.overlap_pairs(spark.createDataFrame([], SCHEMA), ["k"]).first().n == 0
 
 
-@pytest.mark.parametrize("tuning", [{}, {"hot_rows": 20, "look": 1.0}])
-def test_overlap_keys_against_a_sweep(spark, tuning):
-    rows = intervals(4, 300, [1, 1, 1, 2, 3], 900)
+def overlap_counts(rows, keys):
     expected: Counter = Counter()
-    for k in (1, 2, 3):
+    for k in keys:
         latest = None
         mine = [(f, t or datetime(9999, 12, 31)) for kk, f, t, _ in rows if kk == k and f is not None]
         for begin, end in sorted(mine):
             expected[k] += latest is not None and begin < latest
             latest = end if latest is None else max(latest, end)
+    return {k: n for k, n in expected.items() if n}
+
+
+@pytest.mark.parametrize("tuning", [{}, {"hot_rows": 20, "look": 1.0}])
+def test_overlap_keys_against_a_sweep(spark, tuning):
+    rows = intervals(4, 300, [1, 1, 1, 2, 3], 900)
     df = spark.createDataFrame(rows, SCHEMA)
     found = {r.k: r.n for r in quality.overlap_keys(df, ["k"], **tuning).collect()}
-    assert found == {k: n for k, n in expected.items() if n}
+    assert found == overlap_counts(rows, (1, 2, 3))
+
+
+def test_one_key_and_one_time_with_many_slices_worth_of_rows(spark):
+    """Begins, ends and reversed versions that tie in time: hundreds of times what a slice may hold."""
+    rnd = random.Random(8)
+    rows = [(1, at(50), at(50 + rnd.randint(-3, 3)), False) for _ in range(1500)]
+    rows += [(1, at(rnd.choice([49, 50, 51])), at(50), False) for _ in range(500)] + intervals(9, 60, [1, 2], 90)
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = quality.overlap_pairs(df, ["k"], hot_rows=5, look=1.0).first().n
+    assert found == quality.overlap_pairs(df, ["k"]).first().n == count_pairs(rows)
+    tuned, plain = ({r.k: r.n for r in quality.overlap_keys(df, ["k"], **t).collect()} for t in ({"hot_rows": 5, "look": 1.0}, {}))
+    assert tuned == plain == overlap_counts(rows, (1, 2))
 
 
 def test_date_order_and_counts(spark):
