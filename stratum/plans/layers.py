@@ -9,11 +9,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.operators import gold, quality, scd1, scd2, scd2_clean
+from stratum.operators import dedupe, gold, quality, scd1, scd2, scd2_clean
 from stratum.operators.skew import any_null
 from stratum.schemas import empty
 from stratum.sources import landing
-from stratum.sources.tables import REFUSED, SILVER, STAGING, EntityStore
+from stratum.sources.tables import BUCKETS, REFUSED, SILVER, STAGING, EntityStore
 from stratum.specs import SPECS
 
 LITERAL, CLEAN = "literal", "clean"
@@ -25,14 +25,15 @@ _BROADCAST_PENDING = 1_000_000
 class Layers:
     """Staging, silver and gold of all entities below one folder.
 
-    ``policy`` chooses the history merge: ``clean`` or ``literal``.
+    ``policy`` chooses the history merge: ``clean`` or ``literal``.  ``buckets`` is the number of parts of a new
+    upserted table.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, policy: str = CLEAN):
+    def __init__(self, spark: SparkSession, folder: str, policy: str = CLEAN, *, buckets: int = BUCKETS):
         if policy not in (LITERAL, CLEAN):
             raise ValueError(policy)
         self.spark, self.folder, self.policy = spark, folder, policy
-        self.stores = {e: EntityStore(spark, folder, e) for e in SPECS}
+        self.stores = {e: EntityStore(spark, folder, e, buckets) for e in SPECS}
 
     def staging(self, entity: str) -> DataFrame:
         return self.stores[entity].read(STAGING)
@@ -43,14 +44,28 @@ class Layers:
     # --- bronze ---------------------------------------------------------------------------
 
     def ingest(
-        self, deliveries: DataFrame, loaded_at: datetime, label: str, *, per_file: bool = False
+        self,
+        deliveries: DataFrame,
+        loaded_at: datetime,
+        label: str,
+        *,
+        per_file: bool = False,
+        archive: tuple[str, str] | None = None,
     ) -> list[tuple[str, DataFrame]]:
         """Add every loadable delivery to its staging table; returns, per entity, deliveries not loaded and why.
 
         A delivery is loaded once, whatever the label: its path is kept with the commit, so a repeated call adds
         nothing, and reports it.  Rejected deliveries are not remembered and may come again.  A table that
         several deliveries feed is loaded by one plan; its files are parsed once.
+
+        With ``archive``, the landing folder and another one, what has been loaded moves there once it is committed.
+        The commit is the journal of these moves: a delivery that a failed run left in landing is known
+        to be loaded, so the next call moves it and loads nothing twice.  Rejected deliveries stay.
         """
+        # The list is made once: files move, and more may land, while it is worked through.
+        listed = f"{self.folder.rstrip('/')}/listed/{uuid.uuid4().hex[:12]}"
+        deliveries.write.parquet(listed)
+        deliveries = self.spark.read.schema(deliveries.schema).parquet(listed)
         named = [r.table_name for r in deliveries.select("table_name").distinct().collect()]
         rejects = []
         for entity in sorted(set(named) & set(SPECS)):
@@ -69,9 +84,13 @@ class Layers:
             if accepted:
                 store.commit(f"load {label}", added=True, deliveries=accepted, staging=load.rows)
             store.remove(parsed)
+            if archive is not None:
+                landing.move(self.spark, [*accepted, *[r.delivery for r in skipped.collect()]], *archive)
             rejects.append((entity, refused))
         unknown = deliveries.where(F.col("table_name").isNull() | ~F.col("table_name").isin(*SPECS)).select("delivery", "reason")
-        return [*rejects, ("unknown", unknown)]
+        rejects.append(("unknown", self.spark.createDataFrame(unknown.collect(), unknown.schema)))
+        next(iter(self.stores.values())).remove(listed)
+        return rejects
 
     # --- silver ---------------------------------------------------------------------------
 
@@ -85,27 +104,43 @@ class Layers:
         nothing = empty(self.spark, store.schemas[REFUSED])
         if store.has(f"merge {label}"):
             return nothing
-        pending, current = store.current(STAGING), store.current(SILVER)
-        tables = {}
+        pending, tables, replaced = store.current(STAGING), {}, []
         if spec.style == "E":
-            delta = scd1.upsert(current, pending)
-            marked = scd1.mark_processed(pending) if self.policy == LITERAL else scd2_clean.mark_all_processed(pending)
+            # Only the buckets that pending keys fall into are read and written again.
+            replaced = store.buckets_of(dedupe.pending(pending))
+            if replaced:
+                tables[SILVER] = scd1.upsert(store.in_buckets(replaced), pending)
+            tables[STAGING] = scd1.mark_processed(pending) if self.policy == LITERAL else scd2_clean.mark_all_processed(pending)
             if self.policy == CLEAN:
                 lost = pending.where(any_null(list(spec.keys)) & (F.col("merge_status") == 0))
                 tables[REFUSED] = lost.withColumn("reason", F.lit("null key"))
         elif self.policy == CLEAN:
-            merge = scd2_clean.CleanMerge(spec, current, pending)
-            delta, marked, tables[REFUSED] = merge.delta, scd2_clean.mark_all_processed(pending), merge.refused()
+            merge = scd2_clean.CleanMerge(spec, store.current(SILVER), pending)
+            tables = {SILVER: merge.delta, STAGING: scd2_clean.mark_all_processed(pending), REFUSED: merge.refused()}
         else:
-            # Style C also looks at processed rows of the newest load.
-            rows = store.read(STAGING) if spec.style == "C" else pending
-            run = scd2.LiteralMerge(spec, current, rows, broadcast_pending=pending.count() <= _BROADCAST_PENDING)
-            delta, marked = run.delta(), run.marked(pending_only=True)
+            rows = pending.unionByName(self._of_pending_loads(store)) if spec.style == "C" else pending
+            few = pending.count() <= _BROADCAST_PENDING
+            run = scd2.LiteralMerge(spec, store.current(SILVER), rows, broadcast_pending=few)
+            tables = {SILVER: run.delta(), STAGING: run.marked(pending_only=True)}
         before = {r.attempt for r in store.commits().select(F.explode("settled_refused").alias("attempt")).collect()}
-        store.commit(f"merge {label}", silver=delta, staging=marked, **tables)
+        store.commit(f"merge {label}", replaced=replaced, **tables)
         after = {r.attempt for r in store.commits().select(F.explode("settled_refused").alias("attempt")).collect()}
         return store._read(REFUSED, [f"{a}/kind=settled" for a in sorted(after - before)])
 
+    @staticmethod
+    def _of_pending_loads(store: EntityStore) -> DataFrame:
+        """Processed staging rows of the loads that pending rows are from, which style C looks at too.
+
+        A load has one time, and files hold few loads each, so the scan skips the files of all other loads.
+        """
+        loads = dedupe.pending(store.current(STAGING)).select("inserted_at").distinct().collect()  # one per load
+        times = [F.lit(r.inserted_at.isoformat(sep=" ")).cast("timestamp_ntz") for r in loads if r.inserted_at]
+        return store.settled(STAGING).where(F.col("inserted_at").isin(*times) if times else F.lit(False))
+
+    def snapshot(self, entity: str, at: datetime) -> DataFrame:
+        """The versions of one entity that hold at a time."""
+        return self.stores[entity].snapshot(at)
+
     def refused(self, entity: str) -> DataFrame:
         """All pending rows that clean merges took no version from."""
         return self.stores[entity].read(REFUSED)

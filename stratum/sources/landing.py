@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -19,6 +20,8 @@ from stratum.schemas import LANDING, empty, staging_name, staging_schema
 # Deliveries per load are few; above this many their list is joined without a hint.
 _BROADCAST_DELIVERIES = 100_000
 
+_MOVES_AT_ONCE = 16
+
 _FILE_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -286,6 +289,27 @@ def load(
     return Load(entity, rows, rejects, found)
 
 
+def move(spark: SparkSession, deliveries: Iterable[str], landing: str, archive: str) -> None:
+    """Move deliveries, files or folders, to the same places below ``archive``; what is no longer there is left out.
+
+    A move is one renaming in the store, without a copy; many run at a time.
+    """
+    path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    files = path_of(landing).getFileSystem(conf)
+    root = files.makeQualified(path_of(landing)).toUri().getPath()
+
+    def one(delivery: str) -> None:
+        place = path_of(delivery).toUri().getPath().removeprefix(root).lstrip("/")
+        target = path_of(f"{archive.rstrip('/')}/{place}")
+        if files.exists(path_of(delivery)):
+            files.mkdirs(target.getParent())
+            if not files.rename(path_of(delivery), target):
+                raise OSError(f"cannot move {delivery} to {target}")
+
+    with ThreadPoolExecutor(_MOVES_AT_ONCE) as pool:
+        list(pool.map(one, deliveries))
+
+
 def append(rows: DataFrame, folder: str, entity: str) -> None:
     """Append a load to the staging table of its entity, partitioned by origin date."""
     rows.write.mode("append").partitionBy("origin_date").parquet(f"{folder}/{staging_name(entity)}")

@@ -12,18 +12,6 @@ from stratum.plans.layers import Layers
 from stratum.sources import landing
 
 
-def _move(spark: SparkSession, file: str, top: str, archive: str) -> None:
-    """Move a file to the same place below another folder, if it is still there."""
-    path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
-    files = path_of(file).getFileSystem(conf)
-    root = files.makeQualified(path_of(top)).toUri().getPath()
-    place = path_of(file).toUri().getPath().removeprefix(root).lstrip("/")
-    target = path_of(f"{archive.rstrip('/')}/{place}")
-    if files.exists(path_of(file)):
-        files.mkdirs(target.getParent())
-        files.rename(path_of(file), target)
-
-
 def start(
     spark: SparkSession,
     landing_folder: str,
@@ -41,7 +29,7 @@ def start(
     The stream carries file paths only; the files are read by the batch plan of their entity, by
     header name.  The checkpoint remembers the files, and both commits of a batch carry the
     stream's ``name`` and the batch id, so a batch that is run again adds nothing twice.  With ``archive``,
-    files that have been loaded move there when their batch is complete; rejected ones stay where they are, and
+    files move there once their load is committed; rejected ones stay where they are, and
     come again under another name.  ``loaded_at`` gives the load time of a batch.
     """
     options = {"ignoreMissingFiles": True}
@@ -52,15 +40,12 @@ def start(
     def process(batch: DataFrame, batch_id: int) -> None:
         deliveries = landing.manifest(batch, per_file=True)
         label = f"{name} {batch_id}"
-        for entity, rejects in layers.ingest(deliveries, loaded_at(batch_id), label, per_file=True):
+        folders = None if archive is None else (landing_folder, archive)
+        for entity, rejects in layers.ingest(deliveries, loaded_at(batch_id), label, per_file=True, archive=folders):
             if on_rejects is not None:
                 on_rejects(entity, rejects)
             if entity in layers.stores:
                 layers.merge(entity, label)
-                if archive is not None:
-                    loaded = deliveries.join(layers.stores[entity].deliveries(), "delivery", "left_semi")
-                    for r in loaded.select("delivery").collect():  # the files of one batch
-                        _move(spark, r.delivery, landing_folder, archive)
 
     return (
         files.writeStream.foreachBatch(process)

@@ -219,3 +219,105 @@ def test_stream_equals_batch_and_reads_files_once(spark, batch, tmp_path):
     assert keys(layers) == keys(batch)
     archived = [f for _, _, fs in os.walk(tmp_path / "ingested") for f in fs]
     assert "Customers_20240506_1.csv" in archived
+
+
+def silver_files(store):
+    top = f"{store.folder}/silver"
+    return {os.path.relpath(os.path.join(d, f), top) for d, _, fs in os.walk(top) for f in fs if f.endswith(".parquet")}
+
+
+def sales_file(folder, batch, rows):
+    folder.mkdir(exist_ok=True)
+    head = "transaction_id,customer_id,flavour_id,quantity_liters,transaction_date,country,town,postal_code,amount_dollar\n"
+    lines = [f"{i},1,1,1,2024-05-01,it,rome,1,{amount}\n" for i, amount in rows]
+    (folder / f"SalesTransactions_20240506_{batch}.csv").write_text(head + "".join(lines))
+
+
+def test_upsert_leaves_files_of_untouched_buckets(spark, tmp_path):
+    layers, folder = Layers(spark, str(tmp_path / "store"), buckets=8), tmp_path / "landing"
+    store = layers.stores["salestransactions"]
+    found = lambda: landing.manifest(landing.list_files(spark, str(folder)))
+    sales_file(folder, 1, [(i, i) for i in range(200)])
+    layers.ingest(found(), DAY, "a")
+    layers.merge("salestransactions", "a")
+    first = silver_files(store)
+    assert len({f.split("bucket=")[1].split("/")[0] for f in first}) == 8
+    sales_file(folder, 2, [(7, 1000), (500, 1)])
+    layers.ingest(found(), DAY + timedelta(days=1), "b")
+    layers.merge("salestransactions", "b")
+    rows = {r.transaction_id: r.amount_dollar for r in layers.silver("salestransactions").collect()}
+    assert rows == {i: float(i) for i in range(200)} | {7: 1000.0, 500: 1.0}
+    touched = store.buckets_of(layers.silver("salestransactions").where("transaction_id IN (7, 500)"))
+    added = silver_files(store) - first
+    assert {int(f.split("bucket=")[1].split("/")[0]) for f in added} == set(touched) and len(touched) <= 2
+    used = {f.split("silver/")[1] for f in layers.silver("salestransactions").inputFiles()}
+    assert {f for f in used if int(f.split("bucket=")[1].split("/")[0]) not in touched} < first
+    # A later store takes the number of buckets from the table, whatever it is told.
+    again = Layers(spark, str(tmp_path / "store"), buckets=3)
+    sales_file(folder, 3, [(8, 5)])
+    again.ingest(found(), DAY + timedelta(days=2), "c")
+    again.merge("salestransactions", "c")
+    assert again.stores["salestransactions"].buckets == 8
+    before = content(again.silver("salestransactions"))
+    assert len(before) == 201 and again.silver("salestransactions").where("transaction_id = 8 AND amount_dollar = 5").count() == 1
+    assert any("bucket=" in f for f in store.vacuum())
+    assert content(again.silver("salestransactions")) == before and store.vacuum() == []
+    assert silver_files(store) == {f.split("silver/")[1] for f in again.silver("salestransactions").inputFiles()}
+    again.merge("salestransactions", "nothing pending")
+    assert content(again.silver("salestransactions")) == before
+
+
+def test_snapshot_lists_only_runs_that_cover_the_time(spark, tmp_path):
+    layers, folder = Layers(spark, str(tmp_path / "store")), tmp_path / "landing"
+    folder.mkdir()
+    for day in range(4):
+        name = f"Flavours_2024050{6 + day}_1.csv"
+        (folder / name).write_text(f"flavour_id,name,description\n1,mint,v{day}\n{day + 2},new,x\n")
+        found = landing.manifest(landing.list_files(spark, str(folder))).where(f"file_name = '{name}'")
+        layers.ingest(found, DAY + timedelta(days=day), f"{day}")
+        layers.merge("flavours", f"{day}")
+    assert len(layers.stores["flavours"]._closed(SILVER)) == 3
+    for day in range(4):
+        rows = layers.snapshot("flavours", DAY + timedelta(days=day, hours=1))
+        assert {(r.flavour_id, r.description) for r in rows.collect()} == {(1, f"v{day}"), *[(d + 2, "x") for d in range(day + 1)]}
+        settled = {f.split("silver/")[1].split("/")[0] for f in rows.inputFiles() if "kind=settled" in f}
+        assert len(settled) == (1 if day < 3 else 0)
+    assert layers.snapshot("flavours", DAY - timedelta(days=1)).count() == 0
+
+
+def test_loaded_files_move_to_the_archive_even_after_a_crash(spark, tmp_path, monkeypatch):
+    layers, source, kept = Layers(spark, str(tmp_path / "store")), tmp_path / "landing", tmp_path / "archive"
+    land(source, 0)
+    (source / "20240506" / "Flavours_20240506_9.csv").write_text("flavour_id,name,description\nsix,bad,row\n")
+    found = lambda: landing.manifest(landing.list_files(spark, str(source)))
+    files = lambda top: sorted(f for _, _, fs in os.walk(top) for f in fs if f.endswith(".csv"))
+
+    def killed(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patched:  # killed between the first commit and its moves
+        patched.setattr(landing, "move", killed)
+        with pytest.raises(KeyboardInterrupt):
+            layers.ingest(found(), DAY, "a", archive=(str(source), str(kept)))
+    assert len(files(source)) == 7 and files(kept) == []
+    layers.ingest(found(), DAY, "a", archive=(str(source), str(kept)))
+    assert files(source) == ["Flavours_20240506_9.csv"] and files(kept) == sorted(DAYS[0])
+    assert {e: layers.staging(e).count() for e in ("customers", "flavours", "salestransactions")} == {
+        "customers": 2, "flavours": 2, "salestransactions": 3
+    }
+    assert layers.ingest(found(), DAY, "b", archive=(str(source), str(kept)))[0][0] == "flavours"
+    assert layers.staging("flavours").count() == 2
+
+
+def test_processed_staging_of_other_loads_is_not_read(spark, tmp_path):
+    layers = run_days(spark, tmp_path, LITERAL, only=["recipes"])
+    store, folder = layers.stores["recipes"], tmp_path / "more"
+    folder.mkdir()
+    head = "recipe_id,flavour_id,ingredient_id,quantity_grams,heat_process\n"
+    (folder / "Recipes_20240509_1.csv").write_text(head + "1,1,1,3,warm\n9,9,9,9,x\n")
+    layers.ingest(landing.manifest(landing.list_files(spark, str(folder))), DAY + timedelta(days=3), "c")
+    rows = Layers._of_pending_loads(store)
+    assert "inserted_at" in rows._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1]
+    layers.merge("recipes", "c")
+    active = {(r.recipe_id, r.ingredient_id, r.heat_process) for r in layers.silver("recipes").where("active").collect()}
+    assert active == {(1, 1, "warm"), (1, 2, "cold"), (2, 2, "hot"), (9, 9, "x")}
