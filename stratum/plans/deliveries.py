@@ -27,14 +27,16 @@ def deliver(rows: DataFrame, columns: Sequence[str], name: Column, folder: str)
     """Write ``columns`` into the deliveries that ``name`` gives for each row."""
     rows.withColumn("file", name).select(*columns, "file").write.mode("append").partitionBy("file").option(
         "header", True
-    ).csv(folder)
+    ).option("escape", '"').csv(folder)
 
 
 def sales_by_batch(given: GivenTables) -> str:
-    """All sales as one delivery per batch of one day."""
+    """All sales as one delivery per batch of one day; some towns hold a line break, quotes and delimiters."""
     folder = shared_folder(given.spark, "landing")
     name = file_name("SalesTransactions", F.lit("2024-05-06").cast("date"), F.col("batch_value"))
-    rows = given.salestransactions_staging()
+    spelled = F.concat(F.col("town"), F.lit('\n"'), F.col("postal_code"), F.lit('", ,'))
+    town = F.when(F.col("town") == "R", spelled).otherwise(F.col("town"))
+    rows = given.salestransactions_staging().withColumn("town", town)
     deliver(rows, LANDING["salestransactions"].fieldNames(), name, f"{folder}/20240506")
     return folder
 
@@ -87,7 +89,7 @@ def stocks_with_faults(given: GivenTables) -> str:
 
 
 def all_dimensions(given: GivenTables) -> str:
-    """One delivery of every simple-key table and one of an unknown table."""
+    """Both extracts of some simple-key tables, one delivery each, and one of an unknown table."""
     folder = shared_folder(given.spark, "landing")
     for entity, title in (
         ("provider", "Provider"),
@@ -95,8 +97,8 @@ def all_dimensions(given: GivenTables) -> str:
         ("rawmaterialtype", "RawMaterialType"),
         ("ingredients", "Ingredients"),
     ):
-        rows = given.staging(entity).where("batch_value = 1")
-        deliver(rows, LANDING[entity].fieldNames(), file_name(title, F.col("origin_date")), f"{folder}/20240506")
+        name = file_name(title, F.col("origin_date"), F.col("batch_value"))
+        deliver(given.staging(entity), LANDING[entity].fieldNames(), name, f"{folder}/20240506")
     unknown = given.table("events")
     deliver(unknown, ["user_id", "value"], F.lit("Visits_20240506_1.csv"), f"{folder}/20240506")
     return folder

@@ -495,7 +495,12 @@ FROM (SELECT *, strftime(o_orderdate, '%Y%m%d') AS d, substr(o_orderpriority, 1,
   UNION SELECT 'dp_ingredients_staging' FROM supplier UNION SELECT 'dp_flavours_staging' FROM part
   UNION SELECT 'dp_rawmaterialtype_staging' FROM part UNION SELECT 'dp_visits_staging' FROM events) t
 WHERE staging_table <> 'dp_flavours_staging'""",
-        "bronze_csv_scan": using(["salestransactions_staging"], f"SELECT {sales} FROM salestransactions_staging"),
+        "bronze_csv_scan": using(
+            ["salestransactions_staging"],
+            f"""SELECT {sales} FROM (SELECT * REPLACE (
+  CASE WHEN town = 'R' THEN concat(town, chr(10), '"', postal_code, '", ,') ELSE town END AS town)
+FROM salestransactions_staging) s""",
+        ),
         "bronze_lineage": using(
             ["customers_staging"],
             f"""SELECT row_id AS "index", customer_id, name, location_city, location_country, {loaded}, batch_value,

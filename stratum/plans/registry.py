@@ -213,8 +213,11 @@ def _raw(g: GivenTables, folder: str, entity: str) -> tuple[DataFrame, list[land
 
 
 def csv_scan(g: GivenTables) -> DataFrame:
-    raw, _ = _raw(g, deliveries.sales_by_batch(g), "salestransactions")
-    return landing.typed_rows(raw, "salestransactions").select(*LANDING["salestransactions"].fieldNames())
+    """Towns hold quotes, delimiters and line breaks."""
+    found = landing.probe(g.spark, landing.manifest(landing.list_files(g.spark, deliveries.sales_by_batch(g))), "salestransactions")
+    large = any(d.largest > landing.WHOLE_FILE for d in found)
+    rows = landing.read_typed(g.spark, "salestransactions", found, shared_folder(g.spark, "parsed") if large else None)
+    return rows.select(*LANDING["salestransactions"].fieldNames())
 
 
 def lineage(g: GivenTables) -> DataFrame:
