@@ -531,6 +531,29 @@ FROM recipes_staging GROUP BY origin_date, batch_value, merge_status""",
     }
 
 
+def layers_sql() -> dict[str, str]:
+    changed = " OR ".join(f"LAG({c}) OVER w IS DISTINCT FROM {c}" for c in ("name", "location_city", "location_country"))
+    return {
+        "layers_customer_history": using(
+            ["customers_staging"],
+            """SELECT customer_id, name, location_city AS city, location_country AS country, loaded AS valid_from,
+  LEAD(loaded) OVER w AS valid_to, LEAD(loaded) OVER w IS NULL AS active, loaded AS load_timestamp, origin_date AS source_date
+FROM steps WHERE changed WINDOW w AS (PARTITION BY customer_id ORDER BY loaded)""",
+            {
+                "steps": f"""SELECT *, ROW_NUMBER() OVER w = 1 OR {changed} AS changed FROM (
+  SELECT *, CASE batch_value WHEN 1 THEN TIMESTAMP '2024-05-08 06:00:00' ELSE TIMESTAMP '2024-05-09 06:00:00' END AS loaded
+  FROM customers_staging WHERE customer_id IS NOT NULL) l WINDOW w AS (PARTITION BY customer_id ORDER BY loaded)""",
+            },
+        ),
+        "layers_upserted_sales": using(
+            ["salestransactions_staging"],
+            """SELECT DISTINCT transaction_id, customer_id, transaction_date, load_timestamp, DATE '2024-05-06' AS source_date
+FROM (SELECT *, TIMESTAMP '2024-05-08 06:00:00' + to_days(MAX(batch_value) OVER (PARTITION BY transaction_id)) AS load_timestamp
+  FROM salestransactions_staging) s""",
+        ),
+    }
+
+
 def all_sql() -> dict[str, str]:
     sql: dict[str, str] = {
         "gold_sales_analytics": using(
@@ -586,4 +609,4 @@ WHERE p.name IS DISTINCT FROM s.name OR p.city IS DISTINCT FROM s.city OR p.coun
         sql[f"mark_processed_{entity}"] = merge_marked(spec)
         if entity != "customers":
             sql[f"scd2_merge_clean_{entity}"] = clean_result(spec)
-    return sql | quality_sql() | history_sql() | bronze_sql()
+    return sql | quality_sql() | history_sql() | bronze_sql() | layers_sql()

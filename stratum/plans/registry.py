@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from stratum.functions import landing as lf
 from stratum.operators import dedupe, gold, history, quality, scd1, scd2, scd2_clean
 from stratum.plans import deliveries
 from stratum.plans.given import GivenTables
+from stratum.plans.layers import Layers
 from stratum.schemas import LANDING, staging_name
 from stratum.sources import landing
 from stratum.sources.workspace import shared_folder
@@ -259,6 +260,33 @@ def appended(g: GivenTables) -> DataFrame:
     )
 
 
+# --- landing to silver on stored tables -----------------------------------------------------
+
+
+def _through_layers(g: GivenTables, folder: str, entity: str) -> DataFrame:
+    """Silver of one entity after its deliveries were loaded and merged one batch after the other."""
+    layers = Layers(g.spark, shared_folder(g.spark, "store"))
+    found = landing.manifest(landing.list_files(g.spark, folder))
+    batches = sorted(r.batch_value for r in found.select("batch_value").distinct().collect())  # two or three
+    for i, batch in enumerate(batches):
+        layers.ingest(found.where(F.col("batch_value") == batch), LOADED_AT + timedelta(days=i), f"batch {batch}")
+        layers.merge(entity, f"batch {batch}")
+    return layers.silver(entity)
+
+
+def layers_sales(g: GivenTables) -> DataFrame:
+    """Which load has the say on each transaction; rows of one delivery that tie may have other amounts."""
+    rows = _through_layers(g, deliveries.sales_by_batch(g), "salestransactions")
+    return rows.select("transaction_id", "customer_id", "transaction_date", "load_timestamp", "source_date")
+
+
+def _layer_queries() -> dict[str, Query]:
+    return {
+        "layers_customer_history": _on(lambda g: _through_layers(g, deliveries.customer_extracts(g), "customers")),
+        "layers_upserted_sales": _on(layers_sales),
+    }
+
+
 def _bronze_queries() -> dict[str, Query]:
     return {
         "bronze_file_manifest": _on(file_manifest),
@@ -274,4 +302,4 @@ def _bronze_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    return _silver_queries() | _quality_queries() | _history_queries() | _bronze_queries()
+    return _silver_queries() | _quality_queries() | _history_queries() | _bronze_queries() | _layer_queries()
