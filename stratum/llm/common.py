@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import weakref
 import zipfile
 from collections.abc import Sequence
 from pathlib import Path
@@ -37,11 +38,25 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def stored(rows: DataFrame, purpose: str) -> DataFrame:
     """``rows`` written as a table in the shared folder and read again: cuts the lineage, fixes every value."""
     path = shared_folder(rows.sparkSession, purpose)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    table = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    _folders[table] = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Remove the files of ``stored`` tables that nothing will read any more."""
+    for table in tables:
+        path = _folders.pop(table, None) if table is not None else None
+        if path is not None:
+            at = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 _sent: set[str] = set()

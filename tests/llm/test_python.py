@@ -123,7 +123,7 @@ def _classes(rows: list[tuple], similarity: float = 0.8) -> dict:
         features.append(collections.Counter([tuple(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)] if w else []))
     df = collections.Counter(k for f in features for k in f)
     least = max(2, math.ceil(len(rows) * minhash.RARE))
-    weight = [{k: c * math.log1p(len(rows) / df[k] if df[k] >= least else 1 / minhash.RARE) for k, c in f.items()} for f in features]
+    weight = [{k: c * math.log1p(len(rows) / df[k] if df[k] >= least else min(len(rows), 1 / minhash.RARE)) for k, c in f.items()} for f in features]
     root = list(range(len(rows)))
 
     def find(x: int) -> int:
