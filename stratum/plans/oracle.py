@@ -337,7 +337,7 @@ def quality_sql() -> dict[str, str]:
     for e in HISTORY_ENTITIES:
         counts.append(_count_row("rows", silver[e], "active", "COUNT(*) FILTER (WHERE active)", "info", silver[e]))
         counts.append(_count_row("rows", silver[e], "inactive", "COUNT(*) FILTER (WHERE NOT active)", "info", silver[e]))
-    merged = {e: _steps(SPECS[e]) for e in ("customers", "recipes", "stocks")}
+    merged = {e: _steps(SPECS[e]) for e in HISTORY_ENTITIES}
 
     def duplicate_active(entity: str) -> str:
         spec = SPECS[entity]
@@ -382,9 +382,7 @@ def quality_sql() -> dict[str, str]:
             ),
             gold_steps,
         ),
-        "dq_duplicate_active_customers": duplicate_active("customers"),
-        "dq_duplicate_active_stocks": duplicate_active("stocks"),
-        "dq_duplicate_active_recipes": duplicate_active("recipes"),
+        **{f"dq_duplicate_active_{e}": duplicate_active(e) for e in HISTORY_ENTITIES},
         "dq_overlap_pairs": using(
             ["user_history"],
             # Each user's closed versions as a list; for each, how many others in it it overlaps.
