@@ -6,6 +6,7 @@ import json
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 from struct import pack
 
 import ahocorasick
@@ -24,7 +25,7 @@ PATTERN = (
 )
 
 #: Pieces whose ids a worker remembers, and pairs of tokens whose compatibility it does.
-REMEMBERED, REMEMBERED_PAIRS = 150_000, 2_000_000
+REMEMBERED, REMEMBERED_PAIRS = 300_000, 2_000_000
 
 _NEVER = 1 << 60
 
@@ -58,8 +59,11 @@ class Codec(dict):
         for token, i in self.added.items():
             self.tokens[i] = token.encode()
         self.lengths = [len(t) for t in self.tokens]
+        self.bytes = pa.array(self.tokens, pa.large_binary())
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
-        self.ranks = {vocabulary[a] << 32 | vocabulary[b]: r for r, (a, b) in enumerate(pairs)}
+        self.ranks: dict[int, dict[int, int]] = defaultdict(dict)  # by the left and then the right token
+        for r, (a, b) in enumerate(pairs):
+            self.ranks[vocabulary[a]][vocabulary[b]] = r
         self.parts = {vocabulary[a + b]: (vocabulary[a], vocabulary[b]) for a, b in reversed(pairs)}
         self.matches = ahocorasick.Automaton()
         for i in vocabulary.values():
@@ -83,7 +87,7 @@ class Codec(dict):
                 if at not in self.parts:
                     break
                 left, right = self.parts[at]
-                end, at = self.ranks[left << 32 | right], (left, right)[side]
+                end, at = self.ranks[left][right], (left, right)[side]
             self._edges[side][token] = edge
         return edge
 
@@ -96,15 +100,7 @@ class Codec(dict):
         """
         known = self._pairs[left].get(right)
         if known is None:
-            known, starts, ranks = True, self._edge(right, 0), self.ranks
-            for a, a_end in self._edge(left, 1):
-                for b, b_end in starts:
-                    rank = ranks.get(a << 32 | b)
-                    if rank is not None and rank < a_end and rank <= b_end:
-                        known = False
-                        break
-                if not known:
-                    break
+            known = not self._crossed(left, right, _NEVER)
             self._known_pairs += 1
             if self._known_pairs >= REMEMBERED_PAIRS:
                 self._pairs.clear()
@@ -112,25 +108,28 @@ class Codec(dict):
             self._pairs[left][right] = known
         return known
 
+    def _crossed(self, left: int, right: int, limit: int) -> bool:
+        """Whether a merge of rank below ``limit`` goes across the boundary of the two tokens."""
+        starts = self._edge(right, 0)
+        for a, a_end in self._edge(left, 1):
+            ranks = self.ranks.get(a)
+            if ranks:
+                end = min(a_end, limit)
+                for b, b_end in starts:
+                    rank = ranks.get(b, _NEVER)
+                    if rank < end and rank <= b_end:
+                        return True
+        return False
+
     def whole(self, token: int) -> bool:
         """Whether the token's own bytes are merged to it."""
         if token not in self._whole:
             parts = self.parts.get(token)
             self._whole[token] = self.lengths[token] == 1 or parts is not None and (
-                self.whole(parts[0]) and self.whole(parts[1]) and self._meets(*parts)
+                self.whole(parts[0]) and self.whole(parts[1]) and not self._crossed(*parts, self.ranks[parts[0]][parts[1]])
             )
         return self._whole[token]
 
-    def _meets(self, left: int, right: int) -> bool:
-        """Whether nothing is merged across the boundary before the two tokens themselves are."""
-        limit = self.ranks[left << 32 | right]
-        for a, a_end in self._edge(left, 1):
-            for b, b_end in self._edge(right, 0):
-                rank = self.ranks.get(a << 32 | b, _NEVER)
-                if (a, b) != (left, right) and rank < min(a_end, limit) and rank <= b_end:
-                    return False
-        return True
-
     def piece(self, data: bytes) -> list[int]:
         last = [-1] * (len(data) + 1)
         lengths, pairs, whole = self.lengths, self._pairs, self._whole
@@ -173,7 +172,14 @@ class Codec(dict):
         return np.frombuffer(b"".join(packed), np.int32)
 
     def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
+        return self.texts(pa.array(ids, pa.int32()), np.array([0, len(ids)]))[0]
+
+    def texts(self, ids: pa.Array, edges: np.ndarray) -> list[str]:
+        """The texts of consecutive runs of ``ids``, from one of the ``edges`` to the next."""
+        found = self.bytes.take(ids)
+        starts, data = (np.frombuffer(found.buffers()[1], np.int64), found.buffers()[2]) if len(ids) else (np.zeros(1, np.int64), None)
+        held = memoryview(data if data is not None else b"")
+        return [str(held[a:b], "utf-8", "replace") for a, b in pairwise(starts[edges].tolist())]
 
 
 @lru_cache(2)
@@ -182,24 +188,32 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode(rows: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def _encoded(own: Codec, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Ids of all texts of a batch one after the other, and where each text begins and ends."""
+    found = [own.encode(t or "") for t in texts.to_pylist()]
+    edges = np.cumsum([0, *map(len, found)], dtype=np.int32)
+    return pa.array(np.concatenate([np.empty(0, np.int32), *found])), edges
+
+
+def encode(rows: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """Replace ``text`` by ``ids``, the token ids of the whole text; null is encoded as the empty text.
 
+    With ``decoded`` the ids are decoded in the same pass into a column of that name, as ``decode`` does.
     ``path`` is a tokenizer file that every executor can open (it is part of an installed package or sent along
     with the job).  Other columns, repeated rows and empty tables pass through.
     """
     others = [c for c in rows.columns if c != text]
-    schema = T.StructType([*[rows.schema[c] for c in others], T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    more = [T.StructField(decoded, T.StringType())] if decoded else []
+    schema = T.StructType([*[rows.schema[c] for c in others], T.StructField(ids, T.ArrayType(T.IntegerType())), *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
-            found = [own.encode(t or "") for t in batch.column(text).to_pylist()]
-            offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            flat = pa.array(np.concatenate([np.empty(0, np.int32), *found]))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in others], pa.ListArray.from_arrays(pa.array(offsets), flat)], [*others, ids]
-            )
+            flat, edges = _encoded(own, batch.column(text))
+            columns = [*[batch.column(c) for c in others], pa.ListArray.from_arrays(pa.array(edges), flat)]
+            if decoded:
+                columns.append(pa.array(own.texts(flat, edges), pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return arrow_batches(rows).mapInArrow(run, schema)
 
@@ -211,7 +225,12 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
-            found = [None if x is None else own.decode(x) for x in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, text])
+            lists = batch.column(ids)
+            edges = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            found = own.texts(lists.flatten(), edges)
+            missing = lists.is_null().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.array(found, object), pa.string(), mask=missing)], [*batch.schema.names, text]
+            )
 
     return arrow_batches(rows).mapInArrow(run, schema)

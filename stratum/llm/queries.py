@@ -49,10 +49,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    coded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    decoded = bpe.decode(coded, path)
-    return decoded.select(
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(documents, tokenizer_path(), decoded="decoded").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -48,7 +48,19 @@ def test_bpe_on_rows(spark, library):
         ids = library.encode(r[1] or "", add_special_tokens=False).ids
         want[r[0], tuple(ids), r[1] or ""] += 1
     assert got == want
-    assert bpe.encode(edge_documents(spark).limit(0), path).count() == 0
+    once = bpe.encode(edge_documents(spark), path, decoded="decoded")
+    assert collections.Counter((r.doc_id, tuple(r.ids), r.decoded) for r in once.collect()) == want
+    assert bpe.encode(edge_documents(spark).limit(0), path, decoded="decoded").count() == 0
+
+
+def test_bpe_decodes_any_ids(spark, library):
+    path = tokenizer_path()
+    part = library.encode("日", add_special_tokens=False).ids[:1]  # a piece of a character
+    rows = spark.createDataFrame([(1, None), (2, []), (3, part), (4, part + part), (5, None)], "doc_id int, ids array<int>")
+    got = {r.doc_id: r.decoded for r in bpe.decode(rows, path).collect()}
+    assert got == {1: None, 5: None} | {
+        i: library.decode(x, skip_special_tokens=False) for i, x in [(2, []), (3, part), (4, part + part)]
+    }
 
 
 def test_language_is_learnt(spark):
