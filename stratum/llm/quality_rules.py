@@ -102,32 +102,31 @@ def calibrate(
 ) -> DataFrame:
     """One row per stratum with a ``cutoffs`` struct of one value per rule (infinite: no cutoff is safe).
 
-    ``good``: ``stratum`` and ``_m`` of the holdout's good documents.  A setting is safe if so few rejections would
-    have a probability of at most its share of the risk were the true rate above the allowed one (exact binomial test).
+    ``good``: ``stratum`` and ``_m`` of the holdout's good documents; those that the base rejects are lost anyway and
+    take no part.  A setting is safe if so few rejections would have a probability of at most its share of the risk were
+    the true rate among such documents of the stratum above the allowed one (exact binomial test).
     Two families of settings have half of the risk each.  In the first every rule has its own ladder and an equal
     share of the allowed false rejection and of the risk.  In the second all rules go up their ladders together, and
     the documents that any of them rejects are tested against the whole of it, which needs a quarter of the documents.
     Tests of a ladder run from lenient to strict and stop at the first that fails, which needs no further correction.
-    The second counts where the first has no cutoff.  The risk is divided by the number of strata and one more (Bonferroni):
-    the row with a null stratum is about all of them together, for strata that are not ``powered``: too small for any
-    setting to pass even without a rejection.
+    The second counts where the first has no cutoff.  The risk is divided by the number of strata that are tested
+    (Bonferroni): those with documents enough to pass if none were rejected and no other stratum were tested, which the
+    outcomes do not influence.  The others have no row.
     """
     value = scores(F.col("_m"))
     steps = max(len(ladder) for ladder in RULES.values())
     at = lambda ladder, i: ladder[min(i, len(ladder) - 1)]
     any_above = [reduce(or_, [value[r] > at(ladder, i) for r, ladder in RULES.items()]) for i in range(steps)]
-    own = good.groupBy("stratum").agg(
+    own = good.where(~base_failed(F.col("_m"))).groupBy("stratum").agg(
         F.count("*").alias("n"),
         *[F.count_if(value[r] > c).alias(f"{r}_{i}") for r, ladder in RULES.items() for i, c in enumerate(ladder)],
         *[F.count_if(above).alias(f"any_{i}") for i, above in enumerate(any_above)],
     )
-    own = stored(own, "rule-counts")
-    together = own.agg(F.lit(None).cast("string").alias("stratum"), *[F.sum(c).cast("long").alias(c) for c in own.columns[1:]])
-    counted = own.unionByName(together.where("n > 0"))
-    limit = risk / (2 * (own.count() + 1))
-    powered = binomial_tail(F.lit(0).cast("long"), F.col("n"), max_false_rejection) <= limit
+    testable = binomial_tail(F.lit(0).cast("long"), F.col("n"), max_false_rejection) <= risk / 2
+    counted = stored(own.where(testable), "rule-counts")
+    limit = risk / (2 * max(counted.count(), 1))
     tails = counted.select(
-        "stratum", powered.alias("powered"),
+        "stratum",
         *[
             binomial_tail(F.col(f"{r}_{i}"), F.col("n"), max_false_rejection / len(RULES)).alias(f"_p_{r}_{i}")
             for r, x in RULES.items() for i in range(len(x))
@@ -146,20 +145,17 @@ def calibrate(
     joint = {r: climbed("any", [at(ladder, i) for i in range(steps)], limit) for r, ladder in RULES.items()}
     none = reduce(and_, [x == float("inf") for x in alone.values()])
     chosen = [F.when(none, joint[r]).otherwise(alone[r]).alias(r) for r in RULES]
-    return stored(tails.select("stratum", F.struct(*chosen).alias("cutoffs"), "powered"), "rule-cutoffs")
+    return stored(tails.select("stratum", F.struct(*chosen).alias("cutoffs")), "rule-cutoffs")
 
 
 def judged(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """Add ``base_failed`` and ``kept`` to rows with ``stratum`` and ``_m``.
 
-    Strata too small for a test of their own, also those without labels, have the pooled cutoffs, whose bound holds over
-    all strata together only.  A stratum that is large enough and whose tests failed has no cutoff.
+    A stratum without a row in ``cutoffs``, too small for a test or without labels, loses only what the base rejects: no
+    cutoff is tested on the documents of others.
     """
-    pooled = cutoffs.where("stratum IS NULL").select(F.col("cutoffs").alias("_pooled"))
-    own = cutoffs.where("stratum IS NOT NULL AND powered").select("stratum", "cutoffs")
-    few = own.count() <= _BROADCAST_STRATA
-    joined = rows.join(F.broadcast(own), "stratum", "left") if few else salted_join(rows, own, ["stratum"], "left")
-    joined = joined.join(F.broadcast(pooled), how="left").withColumn("cutoffs", F.coalesce("cutoffs", "_pooled")).drop("_pooled")
+    few = cutoffs.count() <= _BROADCAST_STRATA
+    joined = rows.join(F.broadcast(cutoffs), "stratum", "left") if few else salted_join(rows, cutoffs, ["stratum"], "left")
     m = F.col("_m")
     above = F.lit(False)
     for rule, score in scores(m).items():
@@ -181,7 +177,7 @@ def rated(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
     Null text has no words and fails the base; a null language is a stratum of its own; rows with a null
     id or without a label are judged but not learnt from; an id labelled both good and bad counts as bad.
-    Repeated rows are judged alike.  An empty table gives an empty result, and without labels only the
+    Repeated rows are judged alike.  Strata without enough good labels keep all that the base keeps.  An empty table gives an empty result, and without labels only the
     base rejects.
     """
     rows = stored(measured(documents.select("doc_id", _stratum(), "text")).drop("text"), "measures")

@@ -150,18 +150,68 @@ def test_cutoffs_are_safe_and_useful(spark):
     assert all(out[i] for i in range(1, 6000, 2))
 
 
-def test_small_strata_have_cutoffs(spark):
-    """400 good documents of a language are enough for its own cutoffs; 30 of another share the pooled ones."""
+def test_cutoffs_hold_for_their_own_stratum_only(spark):
+    """400 good documents of a language are enough for cutoffs; 5 good ones with symbols of another, and 20 of a third
+    without any label, lose nothing by them."""
     rnd = random.Random(6)
     rows, marks = [], []
-    for i in range(480):
-        junk = i % 10 == 0
-        w = [x + "##" if junk else x for x in words(rnd, 15).split(" ")]
-        rows.append((i, " ".join(w), "de" if i < 445 else "eu"))
+    for i in range(470):
+        lang = "de" if i < 445 else "eu" if i < 450 else "la"
+        symbols = i % 10 == 0 if lang == "de" else True
+        w = [x + "##" if symbols else x for x in words(rnd, 15).split(" ")]
+        rows.append((i, " ".join(w), lang))
+        if lang != "la":
+            marks.append((i, int(lang == "eu" or not symbols), 0, 0))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    out = {r.doc_id: r.kept for r in quality_rules.rated(df, labels(spark, marks)).collect()}
+    assert out == {i: i >= 445 or i % 10 != 0 for i in range(470)}
+
+
+def test_rejections_by_the_base_do_not_count_against_rules(spark):
+    """Good documents that the base rejects have symbols too; the rule is calibrated on the others."""
+    rnd = random.Random(7)
+    rows, marks = [], []
+    for i in range(500):
+        lost, junk = i % 20 == 1, i % 10 == 0
+        w = [x + "##" if lost or junk else x for x in words(rnd, 5 if lost else 15).split(" ")]
+        rows.append((i, " ".join(w), "de"))
         marks.append((i, int(not junk), 0, 0))
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
     out = {r.doc_id: r.kept for r in quality_rules.rated(df, labels(spark, marks)).collect()}
-    assert out == {i: i % 10 != 0 for i in range(480)}
+    assert out == {i: i % 20 != 1 and i % 10 != 0 for i in range(500)}
+
+
+@pytest.mark.parametrize(("n", "k"), [(150, 0), (400, 1), (400, 9), (2000, 8), (2000, 25)])
+def test_cutoffs_equal_brute_force(spark, n, k):
+    """The cutoffs of one stratum from plain binomial sums over both families of settings."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(n + k)
+    texts = [" ".join(x + "#" * (i < k) for x in words(rnd, 20).split(" ")) for i in range(n)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    good = quality_rules.measured(df).withColumn("stratum", F.lit("s"))
+    got = quality_rules.calibrate(good).collect()
+
+    def tail(hits: int, p: float) -> float:
+        return sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(hits + 1))
+
+    rules = quality_rules.RULES
+    over = {r: [sum(x > c for x in ([1.0] * k if r == "symbols_per_word" else [])) for c in ladder] for r, ladder in rules.items()}
+
+    def climb(hits: list[int], p: float, most: float) -> int:
+        passed = [tail(h, p) <= most for h in hits]
+        return passed.index(False) if False in passed else len(passed)
+
+    most = quality_rules.RISK / 2
+    if tail(0, quality_rules.MAX_FALSE_REJECTION) > most:
+        assert got == []
+        return
+    alone = {r: climb(h, quality_rules.MAX_FALSE_REJECTION / len(rules), most / len(rules)) for r, h in over.items()}
+    steps = max(map(len, rules.values()))
+    joint = climb([max(h[min(i, len(h) - 1)] for h in over.values()) for i in range(steps)], quality_rules.MAX_FALSE_REJECTION, most)
+    reached = alone if any(alone.values()) else {r: min(joint, len(x)) for r, x in rules.items()}
+    want = {r: float("inf") if reached[r] == 0 else x[reached[r] - 1] for r, x in rules.items()}
+    assert got[0].cutoffs.asDict() == want
 
 
 def _mix(rows: list[tuple], weights=(1, 2, 3), most=3) -> dict:
