@@ -75,7 +75,7 @@ class Layers:
             parsed = f"{store.folder}/parsed/{uuid.uuid4().hex[:12]}"
             load = landing.load(
                 self.spark, own.join(known, "delivery", "left_anti"), entity, loaded_at,
-                first_id=store.last_row_id() + 1, parsed=parsed, per_file=per_file,
+                first_id=store.last_row_id() + 1, parsed=f"{parsed}/typed", numbered=f"{parsed}/numbered", per_file=per_file,
             )
             refused = self.spark.createDataFrame(
                 load.rejects.unionByName(skipped).collect(), "delivery string, reason string"  # at most one per delivery

@@ -518,7 +518,7 @@ UNION ALL SELECT DISTINCT 'Stocks_20240506_seven.csv', 'bad batch' FROM stocks_s
         ),
         "bronze_row_id": using(
             ["salestransactions_staging"],
-            """SELECT COUNT(*) AS n, COUNT(DISTINCT row_id) AS distinct_ids, CAST(MIN(1) AS BIGINT) AS first_id
+            """SELECT COUNT(*) AS n, COUNT(DISTINCT row_id) AS distinct_ids, CAST(MIN(1) AS BIGINT) AS first_id, COUNT(*) AS last_id
 FROM salestransactions_staging""",
         ),
         "bronze_append": using(

@@ -239,9 +239,10 @@ def accepted_rows(g: GivenTables) -> DataFrame:
 
 def row_ids(g: GivenTables) -> DataFrame:
     found = landing.manifest(landing.list_files(g.spark, deliveries.sales_by_batch(g)))
-    rows = landing.load(g.spark, found, "salestransactions", LOADED_AT).rows
+    rows = landing.load(g.spark, found, "salestransactions", LOADED_AT, numbered=shared_folder(g.spark, "numbered")).rows
     return rows.agg(
-        F.count("*").alias("n"), F.count_distinct("row_id").alias("distinct_ids"), F.min("row_id").alias("first_id")
+        F.count("*").alias("n"), F.count_distinct("row_id").alias("distinct_ids"), F.min("row_id").alias("first_id"),
+        F.max("row_id").alias("last_id"),
     )
 
 

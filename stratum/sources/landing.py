@@ -390,14 +390,28 @@ def with_lineage(rows: DataFrame, entity: str, loaded_at: datetime) -> DataFrame
 
 
 def with_row_ids(
-    rows: DataFrame, entity: str, existing: DataFrame | None = None, *, first_id: int = 1
+    rows: DataFrame, entity: str, existing: DataFrame | None = None, *, first_id: int = 1, numbered: str | None = None
 ) -> DataFrame:
-    """Unique row ids from ``first_id``, or above those of ``existing``; ids have gaps, no shuffle is needed for them."""
+    """Unique row ids from ``first_id``, or above those of ``existing``; no shuffle of rows is needed for them.
+
+    With ``numbered``, a fresh folder, ids have no gaps: rows are written there with the number of their partition and their
+    place in it, which a task that is run again cannot change any more, and the counts of the partitions before
+    are added up.  Without it there are gaps between partitions.
+    """
     offset = F.lit(first_id).cast("long")
     if existing is not None:
         offset = F.coalesce(existing.agg(F.max("row_id")).scalar(), F.lit(0)) + 1
-    numbered = rows.withColumn("row_id", F.monotonically_increasing_id() + offset)
-    return numbered.select(*[F.col(f.name).cast(f.dataType) for f in staging_schema(entity).fields])
+    if numbered is None:
+        with_ids = rows.withColumn("row_id", F.monotonically_increasing_id() + offset)
+    else:
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        rows.withColumns({"_part": F.spark_partition_id(), "_place": place}).write.parquet(numbered)
+        kept = rows.sparkSession.read.parquet(numbered)
+        counts = kept.groupBy("_part").agg(F.count("*").alias("_n"))  # a row per partition from here on
+        before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        with_ids = kept.join(F.broadcast(starts), "_part").withColumn("row_id", F.col("_before") + F.col("_place") + offset)
+    return with_ids.select(*[F.col(f.name).cast(f.dataType) for f in staging_schema(entity).fields])
 
 
 @dataclass(frozen=True)
@@ -419,20 +433,21 @@ def load(
     *,
     first_id: int = 1,
     parsed: str | None = None,
+    numbered: str | None = None,
     per_file: bool = False,
     whole_file: int = WHOLE_FILE,
 ) -> Load:
     """All loadable deliveries of one entity in one plan; a bad delivery does not stop the rest.
 
     With ``parsed``, a folder, the typed rows are written there first, so that files are parsed once for
-    rows and rejects together.
+    rows and rejects together.  ``numbered`` is as in ``with_row_ids``.
     """
     found = probe(spark, deliveries, entity)
     if parsed is None and any(d.largest > whole_file for d in found):
         parsed = shared_folder(spark, "parsed")
     typed = read_typed(spark, entity, found, parsed, per_file=per_file, whole_file=whole_file)
     rows = with_row_ids(
-        with_lineage(_without_bad(typed, len(found)), entity, loaded_at), entity, existing, first_id=first_id
+        with_lineage(_without_bad(typed, len(found)), entity, loaded_at), entity, existing, first_id=first_id, numbered=numbered
     )
     incomplete = [(d.path, "missing column " + ", ".join(missing_columns(d))) for d in found if missing_columns(d)]
     named = deliveries.where((F.col("table_name") == entity) & F.col("reason").isNotNull()).select("delivery", "reason")

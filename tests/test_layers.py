@@ -321,3 +321,9 @@ def test_processed_staging_of_other_loads_is_not_read(spark, tmp_path):
     layers.merge("recipes", "c")
     active = {(r.recipe_id, r.ingredient_id, r.heat_process) for r in layers.silver("recipes").where("active").collect()}
     assert active == {(1, 1, "warm"), (1, 2, "cold"), (2, 2, "hot"), (9, 9, "x")}
+
+
+def test_row_ids_have_no_gaps_over_loads(batch):
+    for entity in ("customers", "salestransactions", "stocks"):
+        ids = sorted(r.row_id for r in batch.staging(entity).select("row_id").collect())
+        assert ids == list(range(1, len(ids) + 1))
