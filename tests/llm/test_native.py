@@ -10,6 +10,7 @@ import re
 import zlib
 
 import pytest
+import xxhash
 
 from stratum.llm import common, fingerprints, mixture, quality_rules, shards
 from tests.llm.cases import SCHEMA, edge_documents, edge_rows, labels, words
@@ -59,6 +60,51 @@ def test_fingerprints(spark):
     assert fingerprints.fingerprinted(edge_documents(spark).limit(0)).count() == 0
 
 
+def _sketch(text):
+    """Spark's xxhash64 of each five words, one word's hash the seed of the next; those below the common limit."""
+    tokens = re.findall(r"[^\x20\x09-\x0D]+", text)
+    hashes = set()
+    for i in range(max(len(tokens) - 4, 1 if tokens else 0)):
+        h = 42
+        for w in tokens[i : i + 5]:
+            h = xxhash.xxh64(w.encode(), seed=h).intdigest()
+        hashes.add(h - 2**64 if h >= 2**63 else h)
+    below = {h for h in hashes if h < -(2**63) + 2**64 // fingerprints.SCALE}
+    return below or ({min(hashes)} if hashes else set())
+
+
+def _alike(a, b):
+    return 1.0 if a == b else len(a & b) / max(min(len(a), len(b)), 1)
+
+
+def test_fingerprints_equal_brute_force(spark):
+    rows = {r[0]: r[1] or "" for r in edge_rows()}
+    rows |= {100 + i: words(random.Random(i), 3 * i) for i in range(40)}
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(5)
+    ids = sorted(rows, key=lambda x: -1 if x is None else x)
+    got = {r.doc_id: r for r in fingerprints.fingerprinted(df).collect()}
+    assert got.keys() == rows.keys()
+    for own, after in zip(ids, [*ids[1:], ids[0]], strict=True):
+        text, following = rows[own], rows[after]
+        k = len(text) // 4
+        edited = text[: len(text) - k] + following[:k]
+        x, y, z = _sketch(text), _sketch(edited), _sketch(following)
+        r = got[own]
+        assert r.fingerprint == "".join(f"{h % 2**64:016x}" for h in sorted(x))
+        assert r.edited_fingerprint == "".join(f"{h % 2**64:016x}" for h in sorted(y))
+        assert math.isclose(r.near_edited, _alike(x, y)) and math.isclose(r.near_next, _alike(x, z))
+
+
+def test_short_passages_are_contained_in_long_texts(spark):
+    rnd = random.Random(5)
+    long = words(rnd, 1000)
+    parts = [" ".join(long.split(" ")[at : at + 30]) for at in range(0, 970, 2)]
+    df = spark.createDataFrame([(long, p) for p in parts], "a string, b string")
+    both = fingerprints.with_sketch(fingerprints.with_sketch(df, "a", "x"), "b", "y")
+    found = [r[0] for r in both.select(fingerprints.containment(both.y, both.x)).collect()]
+    assert sum(v == 1 for v in found) >= 0.99 * len(found)
+
+
 def test_sketch_estimates_containment(spark):
     rnd = random.Random(2)
     long, short = words(rnd, 20000), ""
