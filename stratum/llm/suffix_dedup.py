@@ -442,6 +442,16 @@ def _kept() -> Column:
     return F.aggregate(F.sequence(F.lit(0), n), F.lit(b""), lambda whole, i: F.concat(whole, part(i)))
 
 
+def _whole_characters(span: Column) -> Column:
+    """A span of ``_binary`` with its edges moved outwards to where characters of UTF-8 begin."""
+    inner = lambda at: F.hex(F.substring(F.col("_binary"), (at + 1).cast("int"), F.lit(1))).between("80", "BF")
+
+    def edge(at: Column, step: int) -> Column:
+        return F.when(~inner(at), at).when(~inner(at + step), at + step).when(~inner(at + 2 * step), at + 2 * step).otherwise(at + 3 * step)
+
+    return F.struct(edge(span["start"], -1).alias("start"), edge(span["end"], 1).alias("end"))
+
+
 def removed(documents: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` of every row: what is left of its bytes.
 
@@ -459,13 +469,12 @@ def removed(documents: DataFrame) -> DataFrame:
 def without_repeats(documents: DataFrame) -> DataFrame:
     """``documents`` with repeated strings cut out of ``text``, all columns as they were.
 
-    Bytes of a character that is cut through are left out with it.  Null stays null; a text that is cut to nothing is
-    empty.  ``n_chars``, if there, is the new length.
+    Bytes of a character that is cut through are left out with it; all other characters, replacement characters
+    included, stay.  Null stays null; a text that is cut to nothing is empty.  ``n_chars``, if there, is the new length.
     """
     rows = repeated_spans(documents).withColumn("_binary", F.col("_text").cast("binary"))
-    cleaned = F.when(F.col("_null"), None).when(F.size("_spans") == 0, F.col("_text")).otherwise(
-        F.replace(F.make_valid_utf8(_kept().cast("string")), F.lit("\ufffd"), F.lit(""))
-    )
+    rows = rows.withColumn("_spans", F.transform("_spans", _whole_characters))
+    cleaned = F.when(F.col("_null"), None).when(F.size("_spans") == 0, F.col("_text")).otherwise(_kept().cast("string"))
     step = rows.select("_rest", cleaned.alias("_new"))
     columns = [
         F.col("_new").alias(c) if c == "text"

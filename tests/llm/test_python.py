@@ -128,6 +128,18 @@ def test_repeated_strings_edges(spark):
     assert suffix_dedup.removed(edge_documents(spark).limit(0)).count() == 0
 
 
+def test_cut_characters_go_and_replacement_characters_stay(spark):
+    rnd = random.Random(9)
+    shared = "".join(rnd.choice("abcdef ") for _ in range(260))
+    rows = [
+        (0, "ab\ufffdc\u00e9" + shared + "\u00e9z\ufffd"), (1, "qq\u0129" + shared + "\u00e8y"),  # one byte of each is shared
+        (2, "no cut \ufffd"), (3, None), (4, ""),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {r.doc_id: r.text for r in suffix_dedup.without_repeats(df).collect()}
+    assert got == {0: "ab\ufffdcz\ufffd", 1: "qqy", 2: "no cut \ufffd", 3: None, 4: ""}
+
+
 def _classes(rows: list[tuple], similarity: float = 0.8) -> dict:
     features = []
     for _, t in rows:
