@@ -18,6 +18,8 @@ RECORDS_PER_FILE = 4096
 #: Up to so many payloads that occur more than once are broadcast.
 _BROADCAST_REPEATS = 100_000
 
+_CONTENT = "text/html; charset=utf-8"
+
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -56,20 +58,25 @@ def _record(least: int) -> Column:
 
     number = lambda c: F.concat(F.lit("<urn:page:"), F.col(c).cast("string"), F.lit(">"))
     response = F.col("_refers").isNull()
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    http = F.concat(
+        F.lit(f"HTTP/1.1 200 OK\r\nContent-Type: {_CONTENT}\r\nContent-Length: "), F.col("_bytes").cast("string"), F.lit("\r\n\r\n")
+    )
     payload = F.when(response, F.col("_payload").cast("string")).otherwise("")
     safe_url = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     return F.concat(
         F.lit(MAGIC),
         line("WARC-Type", F.when(response, "response").otherwise("revisit")),
-        line("WARC-Record-ID", number("page_id")),
+        line("WARC-Record-ID", F.coalesce(number("page_id"), F.expr("concat('<urn:uuid:', uuid(), '>')"))),
+        line("WARC-Date", F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         line("WARC-Target-URI", safe_url),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("_digest"))),
         line("WARC-Refers-To", number("_refers")),
         line("WARC-Profile", F.when(~response, _PROFILE)),
-        line("X-Payload-Length", F.col("_bytes").cast("string")),
-        line("Content-Type", F.lit("text/html; charset=utf-8")),
-        line("Content-Length", F.octet_length(payload).cast("string")),
+        line("Content-Type", F.lit("application/http; msgtype=response")),
+        line("Content-Length", (F.octet_length(http) + F.octet_length(payload)).cast("string")),
         F.lit("\r\n"),
+        http,
         payload,
     )
 
@@ -78,8 +85,10 @@ def write(pages: DataFrame, path: str, least: int = LEAST_PAYLOAD, per_file: int
     """Write a record per page to uncompressed archives below ``path``.
 
     Of pages with equal payloads of at least ``least`` bytes, those with the largest id are responses and the
-    others revisits without payload; smaller ones are all responses.  Null html is an empty payload; a null id
-    is smaller than any, and its record has no id.  Rows that share the largest id all are responses.
+    others revisits without payload; smaller ones are all responses.  A record's block is an HTTP header, which
+    tells the length of the full payload for revisits too, and the payload.  Records are dated by the time of
+    writing.  Null html is an empty payload; a null id is smaller than any, and its record has a random UUID for an
+    id.  Rows that share the largest id all are responses, and rows that share an id share their record's id.
     """
     (
         with_roles(pages, least).select(_record(least).alias("value"))
@@ -99,25 +108,30 @@ def _candidates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _parsed(chunks: DataFrame) -> DataFrame:
-    """Header fields of a chunk and where, by its length field, the record after it starts."""
+    """Header fields of a chunk, how long its headers are, and where, by its length field, the record after it starts."""
     text = F.col("chunk").cast("string")
     at = F.locate("\r\n\r\n", text)
     head = F.when(at > 0, F.substring(text, F.lit(1), at + 1))
-    step = chunks.withColumn("_head", head)
+    step = chunks.withColumns({"_head": head, "_block": F.when(at > 0, F.substring(text, at + 4, F.length(text)))})
 
-    def field(name: str) -> Column:
-        return F.regexp_extract(F.concat(F.lit("\r\n"), F.col("_head")), rf"(?i)\r\n{name}: *([^\r\n]*)", 1)
+    def field(name: str, head: str = "_head") -> Column:
+        return F.regexp_extract(F.concat(F.lit("\r\n"), F.col(head)), rf"(?i)\r\n{name}: *([^\r\n]*)", 1)
 
     number = lambda c: F.expr(f"try_cast({c} AS BIGINT)")
-    step = step.withColumns({
-        "type": field("WARC-Type"), "_id": F.regexp_extract(field("WARC-Record-ID"), "(-?[0-9]+)>", 1),
+    end = F.locate("\r\n\r\n", F.col("_block"))
+    http = F.lower(field("Content-Type")).startswith("application/http") & (end > 0)
+    step = step.withColumn("_http", F.when(http, F.substring(F.col("_block"), F.lit(1), end + 1))).withColumns({
+        "type": field("WARC-Type"), "_id": F.regexp_extract(field("WARC-Record-ID"), "^<urn:page:(-?[0-9]+)>", 1),
         "digest": F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", ""),
-        "_refers": F.regexp_extract(field("WARC-Refers-To"), "(-?[0-9]+)>", 1),
-        "_full": field("X-Payload-Length"), "_length": field("Content-Length"),
+        "_refers": F.regexp_extract(field("WARC-Refers-To"), "^<urn:page:(-?[0-9]+)>", 1),
+        "_full": field("Content-Length", "_http"), "_length": field("Content-Length"),
         "size": F.octet_length("chunk").cast("long"),
-    }).withColumns({"length": number("_length"), "head_bytes": F.octet_length("_head").cast("long") + 2})
+    }).withColumns({
+        "length": number("_length"), "head_bytes": F.octet_length("_head").cast("long") + 2,
+        "http_bytes": F.coalesce(F.octet_length("_http").cast("long") + 2, F.lit(0)),
+    })
     return step.withColumns({"page_id": number("_id"), "refers_to": number("_refers"), "full": number("_full")}).drop(
-        "_head", "_id", "_refers", "_full", "_length"
+        "_head", "_block", "_http", "_id", "_refers", "_full", "_length"
     )
 
 
@@ -161,14 +175,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     Archives are read in splits.  Every magic string is a candidate for a record; a candidate's length field
     says where its successor would start.  Only candidates on the chain from the file's start are records, so
-    a magic string, or a whole record, inside a payload is none.  Digest and length are those of the payload read;
+    a magic string, or a whole record, inside a payload is none.  A block that is not HTTP is all payload.  Digest
+    and length are those of the payload read;
     a revisit, which has no payload, tells those of the page it refers to.  ``intact`` says whether the payload has
     the digest its header names.  An empty folder of archives gives no rows.
     """
     parsed = _parsed(_candidates(spark, path))
     # What a chunk holds after its header is the payload, if the payload has no magic inside.
     whole = F.col("length") + F.col("head_bytes") <= F.col("size")
-    body = F.when(whole, F.expr("substring(chunk, head_bytes + 1, length)"))
+    body = F.when(whole, F.expr("substring(chunk, head_bytes + http_bytes + 1, length - http_bytes)"))
     index = stored(
         parsed.withColumns({"whole": whole, "read_digest": base32_sha1(body)}).drop("chunk"), "candidates"
     )
@@ -185,7 +200,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     response = F.col("type") == "response"
     digest = F.when(response, F.col("read_digest")).otherwise(F.col("digest"))
     return records.select(
-        "page_id", F.when(response, F.col("length")).otherwise(F.col("full")).alias("payload_bytes"),
+        "page_id", F.when(response, F.col("length") - F.col("http_bytes")).otherwise(F.col("full")).alias("payload_bytes"),
         digest.alias("payload_digest"), F.col("type").alias("record_type"), "refers_to",
         (~response | (F.col("read_digest") == F.col("digest"))).alias("intact"),
     )
@@ -216,7 +231,7 @@ def _reassembled(spark: SparkSession, path: str, placed: DataFrame, parted: Data
     )
     data = F.array_join(F.transform("_parts", lambda x: F.decode(x["chunk"], "ISO-8859-1")), MAGIC)
     whole = joined.select("file", F.col("_from").alias("offset"), F.encode(data, "ISO-8859-1").alias("_data"))
-    body = F.expr("substring(_data, head_bytes + 1, length)")
+    body = F.expr("substring(_data, head_bytes + http_bytes + 1, length - http_bytes)")
     return (
         parted.drop("read_digest").join(whole, ["file", "offset"], "left").withColumn("read_digest", base32_sha1(body)).drop("_data")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import collections
+import gzip
 import hashlib
 import math
 import random
@@ -295,3 +296,39 @@ def test_warc_round_trip(spark, split):
         want[p, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "revisit" if revisit else "response", newest[h or ""] if revisit else None] += 1
     assert collections.Counter(tuple(r)[:5] for r in out) == want
     assert all(r.intact for r in out)
+
+
+def test_warc_headers_and_compressed_archives(spark, tmp_path):
+    """Every record has the mandatory fields and an HTTP block; archives with a gzip member per record read alike."""
+    pages = [(1, "http://a", "<p>x</p>"), (2, "http://b", "<p>x</p>"), (None, None, "no id"), (3, "http://c", None), (4, "http://d", "é")]
+    plain, packed = tmp_path / "plain", tmp_path / "packed"
+    warc.write(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1), str(plain))
+    packed.mkdir()
+    seen, ids = collections.Counter(), set()
+    for file in plain.glob("part-*"):
+        data, members = file.read_bytes(), []
+        while data:
+            head, _, rest = data.partition(b"\r\n\r\n")
+            first, *lines = head.decode().split("\r\n")
+            fields = dict(line.split(": ", 1) for line in lines)
+            assert first == "WARC/1.1"
+            assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields["WARC-Date"])
+            assert re.fullmatch("<urn:[^>]+>", fields["WARC-Record-ID"])
+            assert fields["Content-Type"] == "application/http; msgtype=response"
+            assert not any(name.startswith("X-") for name in fields)
+            length = int(fields["Content-Length"])
+            http, _, payload = rest[:length].partition(b"\r\n\r\n")
+            assert http.startswith(b"HTTP/1.1 200 OK\r\n") and rest[length : length + 4] == b"\r\n\r\n"
+            if fields["WARC-Type"] == "response":
+                assert int(http.rsplit(b"Content-Length: ", 1)[1]) == len(payload)
+                assert fields["WARC-Payload-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
+            else:
+                assert payload == b"" and fields["WARC-Refers-To"] == "<urn:page:2>" and "WARC-Profile" in fields
+            seen[fields["WARC-Type"]] += 1
+            ids.add(fields["WARC-Record-ID"])
+            members.append(gzip.compress(data[: len(head) + 4 + length + 4]))
+            data = rest[length + 4 :]
+        (packed / f"{file.stem}.warc.gz").write_bytes(b"".join(members))
+    assert seen == {"response": 4, "revisit": 1} and len(ids) == 5
+    rows = [collections.Counter(tuple(r) for r in warc.read(spark, str(p)).collect()) for p in (plain, packed)]
+    assert rows[0] == rows[1] and sum(rows[0].values()) == 5 and all(r[-1] for r in rows[0])
