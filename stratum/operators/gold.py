@@ -40,6 +40,17 @@ def cost_per_flavour(recipes: DataFrame, ingredients: DataFrame) -> DataFrame:
     return total.select("flavour_id", cents(F.when(F.col("fits"), average).otherwise(rough)).alias("cost_per_liter"))
 
 
+def customer_names(customers: DataFrame) -> DataFrame:
+    """``customer_id, customer_name`` of active customers."""
+    return customers.where("active").select("customer_id", F.col("name").alias("customer_name")).distinct()
+
+
+def priced_flavours(flavours: DataFrame, recipes: DataFrame, ingredients: DataFrame) -> DataFrame:
+    """``flavour_id, flavour_name, cost_per_liter`` of active flavours that have a cost row."""
+    named = flavours.where("active").select("flavour_id", F.col("name").alias("flavour_name")).distinct()
+    return named.join(cost_per_flavour(recipes, ingredients), "flavour_id")
+
+
 def sales_analytics(
     sales: DataFrame,
     customers: DataFrame,
@@ -61,18 +72,35 @@ def sales_analytics(
     two lookups instead of three.  Hot customers and flavours are looked for in ``sales_keys``,
     stored rows distributed like ``sales``, so that ``sales`` need not be computed for it.
     """
+    return priced_sales(
+        sales, customer_names(customers), priced_flavours(flavours, recipes, ingredients), unique_sales=unique_sales,
+        sales_keys=sales_keys, hot_rows=hot_rows, look=look,
+    )
+
+
+def hot_keys(sales: DataFrame, hot_rows: int = HOT_ROWS, look: float = LOOK) -> tuple[DataFrame | None, DataFrame | None]:
+    """Flavours and customers with very many sales."""
+    return find_hot(sales, ["flavour_id"], hot_rows, look), find_hot(sales, ["customer_id"], hot_rows, look)
+
+
+def priced_sales(
+    sales: DataFrame,
+    names: DataFrame,
+    priced: DataFrame,
+    *,
+    unique_sales: bool = True,
+    sales_keys: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    look: float = LOOK,
+    hot: tuple[DataFrame | None, DataFrame | None] | None = None,
+) -> DataFrame:
+    """Sales joined with ``customer_names`` and ``priced_flavours``; ``hot`` gives their ``hot_keys`` if known."""
     fact = sales.select(
         "transaction_id", "customer_id", "flavour_id", "quantity_liters", "transaction_date", "amount_dollar"
     )
     if not unique_sales:
         fact = fact.distinct()
-    names = customers.where("active").select("customer_id", F.col("name").alias("customer_name")).distinct()
-    priced = (
-        flavours.where("active").select("flavour_id", F.col("name").alias("flavour_name")).distinct()
-        .join(cost_per_flavour(recipes, ingredients), "flavour_id")
-    )
-    source = sales if sales_keys is None else sales_keys
-    hot_flavours, hot_customers = (find_hot(source, [k], hot_rows, look) for k in ("flavour_id", "customer_id"))
+    hot_flavours, hot_customers = hot or hot_keys(sales if sales_keys is None else sales_keys, hot_rows, look)
     joined = skew_join(fact, priced, ["flavour_id"], "inner", hot_flavours)
     joined = skew_join(joined, names, ["customer_id"], "inner", hot_customers)
     cost = exact("quantity_liters") * F.col("cost_per_liter")
@@ -96,11 +124,14 @@ def create_view(sales_view: DataFrame, name: str = "vw_salestransaction_analytic
     sales_view.createOrReplaceTempView(name)
 
 
-def write_by_month(sales_view: DataFrame, path: str) -> None:
-    """Write the view below ``path``, one folder per month of ``transaction_date``, ordered by date and id.
-
-    Rows are dealt out by ranges of date and id, so a month spreads over as many files as its size asks for.
-    """
+def by_month(sales_view: DataFrame) -> DataFrame:
+    """The view with its ``month``, dealt out by ranges of date and id, so that a month spreads over as many files as its
+    size asks for, and ordered by them inside each."""
     month = F.date_format("transaction_date", "yyyy-MM").alias("month")
     rows = sales_view.select("*", month).repartitionByRange("month", "transaction_date", "transaction_id")
-    rows.sortWithinPartitions("month", "transaction_date", "transaction_id").write.partitionBy("month").parquet(path)
+    return rows.sortWithinPartitions("month", "transaction_date", "transaction_id")
+
+
+def write_by_month(sales_view: DataFrame, path: str) -> None:
+    """Write the view below ``path``, one folder per month of ``transaction_date``, ordered by date and id."""
+    by_month(sales_view).write.partitionBy("month").parquet(path)

@@ -29,6 +29,23 @@ def _cases(otherwise: Column, *cases: tuple[Column, Column]) -> Column:
     return reduce(lambda rest, case: F.when(case[0], case[1]).otherwise(rest), reversed(cases), otherwise)
 
 
+# Where silver tables that break the rules have lost a value, as conditions on their other columns.
+UNSOUND: dict[str, dict[str, str]] = {
+    "customers": {"customer_id": "NOT active"},
+    "provider": {"provider_id": "country = 'AFRICA'", "name": "NOT active"},
+    "flavours": {"flavour_id": "description = 'ECONOMY'", "name": "NOT active"},
+    "rawmaterialtype": {"raw_material_type_id": "NOT active", "name": "active"},
+    "ingredientsrawmaterial": {
+        "ingredient_rawmaterial_id": "NOT active", "ingredient_id": "ingredient_rawmaterial_id < 1000",
+        "raw_material_type_id": "raw_material_type_id = 5",
+    },
+    "ingredients": {"ingredient_id": "molecular_weight > 30", "name": "cost_per_gram < 1", "valid_from": "NOT active"},
+    "recipes": {"flavour_id": "NOT active AND heat_process = 'R'", "quantity_grams": "quantity_grams < 2"},
+    "stocks": {"stock_id": "location = 'A'", "flavour_id": "NOT active"},
+    "salestransactions": {"transaction_id": "amount_dollar < 1000", "customer_id": "quantity_liters > 45"},
+}
+
+
 class GivenTables:
     """The given tables below one folder and the tables derived from them."""
 
@@ -263,6 +280,12 @@ class GivenTables:
             *self._daily_lineage(),
         )
 
+    def recipes_repeated(self) -> DataFrame:
+        """Recipe extracts in which rows with a new process come twice, under ids of their own."""
+        times = F.when(F.col("heat_process").startswith("X"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        rows = self.recipes_staging().withColumn("again", F.explode(times))
+        return rows.withColumn("row_id", F.col("row_id") * 2 + F.col("again")).drop("again")
+
     @cache
     def stocks_silver(self) -> DataFrame:
         """Deliveries per stock and flavour as history; a returned last delivery leaves none active."""
@@ -364,6 +387,12 @@ class GivenTables:
     def silver(self, entity: str) -> DataFrame:
         return getattr(self, f"{entity}_silver")()
 
+    def unsound(self, entity: str) -> DataFrame:
+        """A silver table that has lost keys and other values that must be there."""
+        return self.silver(entity).withColumns(
+            {c: F.when(F.expr(f"COALESCE({lost}, FALSE)"), None).otherwise(F.col(c)) for c, lost in UNSOUND[entity].items()}
+        )
+
     def staging(self, entity: str) -> DataFrame:
         return getattr(self, f"{entity}_staging")()
 

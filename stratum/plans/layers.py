@@ -13,6 +13,7 @@ from stratum.operators import dedupe, gold, quality, scd1, scd2, scd2_clean
 from stratum.operators.skew import any_null
 from stratum.schemas import empty
 from stratum.sources import landing
+from stratum.sources.gold_table import GoldTable
 from stratum.sources.tables import BUCKETS, REFUSED, SILVER, STAGING, EntityStore
 from stratum.specs import SPECS
 
@@ -178,3 +179,16 @@ class Layers:
     def write_gold(self, path: str) -> None:
         """The gold view as a table partitioned by month of sale, in order of date and id inside each file."""
         gold.write_by_month(self.gold(), path)
+
+    def refresh_gold(self, path: str) -> list[str]:
+        """Keep the gold view as a table: only months that changes since the last call touch are written again.
+
+        Sales that may have changed are those in buckets an upsert has written since.  Returns the months written.
+        """
+        table, store = GoldTable(self.spark, path), self.stores["salestransactions"]
+        parts, known = store.parts(), set(table.sources())
+        changed = store.in_buckets({b for part, b in parts.items() if part not in known}).select("transaction_id")
+        return table.refresh(
+            *[self.silver(e) for e in ("salestransactions", "customers", "flavours", "recipes", "ingredients")],
+            changed_sales=changed, sources=parts,
+        )

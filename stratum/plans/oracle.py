@@ -7,6 +7,7 @@ merge: no value ranges, no salts, no slices.
 
 from __future__ import annotations
 
+from stratum.plans.given import UNSOUND
 from stratum.specs import HISTORY_ENTITIES, SPECS, MergeSpec
 
 _TAIL = "valid_from, valid_to, active, load_timestamp, source_date"
@@ -330,6 +331,16 @@ NULL_KEY_GROUPS: dict[str, tuple[tuple[str, ...], ...]] = {
 }
 
 
+# Rows with a new process come twice.
+_RECIPES_REPEATED = f"""SELECT * EXCLUDE (again) REPLACE (row_id * 2 + again AS row_id)
+FROM ({TABLES["recipes_staging"]}) t JOIN (VALUES (0), (1)) a(again) ON again = 0 OR heat_process LIKE 'X%'"""
+
+
+def _unsound(entity: str) -> str:
+    lost = ", ".join(f"CASE WHEN {when} THEN NULL ELSE {c} END AS {c}" for c, when in UNSOUND[entity].items())
+    return f"SELECT * REPLACE ({lost}) FROM {entity}_silver"
+
+
 def quality_sql() -> dict[str, str]:
     staging = {e: f"{e}_staging" for e in SPECS}
     silver = {e: f"{e}_silver" for e in SPECS}
@@ -342,10 +353,11 @@ def quality_sql() -> dict[str, str]:
     def duplicate_active(entity: str) -> str:
         spec = SPECS[entity]
         after = "SELECT * FROM kept UNION ALL SELECT * FROM closed UNION ALL SELECT * FROM versions"
+        again = {"recipes_staging": _RECIPES_REPEATED} if entity == "recipes" else {}
         return using(
             [silver[entity], staging[entity]],
             _duplicate("duplicate_active", entity, "merged", spec.keys, "active"),
-            merged[entity] | {"merged": after},
+            again | merged[entity] | {"merged": after},
         )
 
     gold_steps = {"winners": _WINNERS, "upserted": _UPSERTED, "flavour_cost": _COST, "gold": _GOLD}
@@ -353,7 +365,7 @@ def quality_sql() -> dict[str, str]:
     for e, groups in NULL_KEY_GROUPS.items():
         if e == "gold_sales":
             continue
-        null_parts += _null_rows(e, silver[e], groups, "error" if e == "ingredients" else "warning")
+        null_parts += _null_rows(e, f"{e}_unsound", groups, "error" if e == "ingredients" else "warning")
     null_parts += _null_rows("gold_sales", "gold", NULL_KEY_GROUPS["gold_sales"], "warning")
     return {
         "dq_row_counts": using(
@@ -366,10 +378,13 @@ def quality_sql() -> dict[str, str]:
             ),
         ),
         "dq_null_keys": using(
-            [*silver.values(), *_SALES_TABLES], _union(null_parts), gold_steps
+            [*silver.values(), *_SALES_TABLES], _union(null_parts),
+            gold_steps | {f"{e}_unsound": _unsound(e) for e in SPECS},
         ),
         "dq_null_critical": using(
-            ["ingredients_silver"], _union(_null_rows("ingredients", "ingredients_silver", [INGREDIENT_CRITICAL], "error"))
+            ["ingredients_silver"],
+            _union(_null_rows("ingredients", "ingredients_unsound", [INGREDIENT_CRITICAL], "error")),
+            {"ingredients_unsound": _unsound("ingredients")},
         ),
         "dq_duplicate_transactions": using(
             _GOLD_TABLES,
@@ -557,6 +572,16 @@ def all_sql() -> dict[str, str]:
         "gold_sales_analytics": using(
             _GOLD_TABLES, _GOLD, {"winners": _WINNERS, "upserted": _UPSERTED, "flavour_cost": _COST}
         ),
+        "gold_refreshed": using(
+            [*_GOLD_TABLES, "ingredients_staging"],
+            _GOLD,
+            _steps(SPECS["ingredients"])
+            | {
+                "merged": "SELECT * FROM kept UNION ALL SELECT * FROM closed UNION ALL SELECT * FROM versions",
+                "winners": _WINNERS, "upserted": _UPSERTED,
+                "flavour_cost": _COST.replace("JOIN ingredients_silver i", "JOIN merged i"),
+            },
+        ),
         "gold_cost_per_flavour": using(
             ["recipes_silver", "ingredients_silver"],
             "SELECT flavour_id, CAST(cost_per_liter AS DOUBLE) AS cost_per_liter FROM flavour_cost",

@@ -115,6 +115,10 @@ class EntityStore:
 
     # --- buckets --------------------------------------------------------------------------
 
+    def parts(self) -> dict[str, int]:
+        """The bucket of each attempt's part that the upserted table consists of; a rewritten bucket has a new part."""
+        return {name: int(name.rpartition("=")[2]) for name in self._last()[SILVER] if "/bucket=" in name}
+
     @property
     def buckets(self) -> int | None:
         """Parts of the silver table by key, None if it is not divided."""

@@ -11,6 +11,7 @@ import pytest
 from stratum.operators import quality
 from stratum.plans.layers import CLEAN, LITERAL, Layers
 from stratum.sources import landing
+from stratum.sources.gold_table import GoldTable
 from stratum.sources.tables import SILVER, STAGING
 from stratum.streaming import ingest
 
@@ -176,6 +177,18 @@ def test_gold_sink_is_ordered_by_month(spark, batch, tmp_path):
     quality.enforce(batch.check_gold())
 
 
+def test_refreshed_gold_follows_upserts(spark, tmp_path):
+    layers, path = Layers(spark, str(tmp_path / "store")), str(tmp_path / "gold")
+    written = []
+    for day in range(2):
+        land(tmp_path / f"landing{day}", day)
+        layers.ingest(landing.manifest(landing.list_files(spark, str(tmp_path / f"landing{day}"))), DAY + timedelta(days=day), f"day {day}")
+        layers.merge_all(f"day {day}")
+        written += [layers.refresh_gold(path), layers.refresh_gold(path)]
+        assert content(GoldTable(spark, path).read()) == content(layers.gold())
+    assert written == [["2024-05"], [], ["2024-05"], []]
+
+
 def test_settled_rows_are_not_written_again(batch):
     store = batch.stores["customers"]
     written = os.listdir(f"{store.folder}/silver")
