@@ -19,10 +19,10 @@ SIDE, EMBEDDING, HIDDEN = 2, 8, 16
 CLASSES, MEMBERS, BUCKETS = 64, 64, 512
 TOKENS = CLASSES * MEMBERS
 
-#: Rounds of training; in each, one word in MASKED of every document is predicted.
-ROUNDS, MASKED = 2, 16
+#: Rounds of training; every word of every document is predicted in one of them.
+ROUNDS = 2
 
-_BATCH, _RATE, _AT_ONCE = 4096, 0.1, 1 << 15
+_BATCH, _RATE, _AT_ONCE = 8192, 0.1, 1 << 15
 
 
 def vocabulary(documents: DataFrame) -> np.ndarray:
@@ -99,9 +99,10 @@ class Network:
 
     @staticmethod
     def _softmax(x: np.ndarray) -> np.ndarray:
-        x -= x.max(1, keepdims=True)
+        if not _small(x):
+            x -= x.max(1, keepdims=True)
         np.exp(x, out=x)
-        x /= x.sum(1, keepdims=True)
+        x /= _row_sums(x)[:, None]
         return x
 
     def log_probabilities(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -137,34 +138,55 @@ class Network:
             back = p @ self.classes.T
             order = np.argsort(kind, kind="stable")
             edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-            changes: list[tuple[str, object, np.ndarray]] = [("classes", ..., hidden.T @ p), ("class_bias", ..., p.sum(0))]
+            hidden_of, member_of, back_of = hidden[order], member[order], np.empty_like(hidden)
+            members, member_bias = np.zeros_like(self.members), np.zeros_like(self.member_bias)
             for c in np.flatnonzero(np.diff(edges)):
-                rows = order[edges[c] : edges[c + 1]]
-                q = self._softmax(hidden[rows] @ self.members[c] + self.member_bias[c])
-                q[np.arange(len(rows)), member[rows]] -= 1
-                back[rows] += q @ self.members[c].T
-                changes += [("members", c, hidden[rows].T @ q), ("member_bias", c, q.sum(0))]
+                rows = slice(edges[c], edges[c + 1])
+                q = self._softmax(hidden_of[rows] @ self.members[c] + self.member_bias[c])
+                q[np.arange(len(q)), member_of[rows]] -= 1
+                np.matmul(q, self.members[c].T, out=back_of[rows])
+                np.matmul(hidden_of[rows].T, q, out=members[c])
+                member_bias[c] = q.sum(0)
+            back[order] += back_of
+            changes = {"classes": hidden.T @ p, "class_bias": p.sum(0), "members": members, "member_bias": member_bias}
             back *= 1 - hidden * hidden
             inner = (back @ self.mix.T).reshape(-1, EMBEDDING)
-            ids, which = np.unique(x.ravel(), return_inverse=True)
-            by_id = np.zeros((len(ids), EMBEDDING), np.float32)
-            np.add.at(by_id, which, inner)
-            changes += [("mix", ..., seen.T @ back), ("bias", ..., back.sum(0)), ("embed", ids, by_id)]
-            for name, where, grad in changes:
+            ids = x.ravel()
+            by_id = np.stack([np.bincount(ids, w, TOKENS + 1) for w in inner.T], 1).astype(np.float32)
+            changes |= {"mix": seen.T @ back, "bias": back.sum(0), "embed": by_id}
+            for name, grad in changes.items():
                 grad = grad / 32
-                views[name][where] += grad * grad
-                getattr(self, name)[where] -= _RATE * grad / np.sqrt(views[name][where] + 1e-6)
+                views[name][...] += grad * grad
+                getattr(self, name)[...] -= _RATE * grad / np.sqrt(views[name] + 1e-6)
+
+
+def _small(x: np.ndarray) -> bool:
+    """Whether sums of exp(x) stay within the range of a float without a shift."""
+    return -60 < x.min() and x.max() < 60
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], x.dtype)
 
 
 def _log_sum(x: np.ndarray) -> np.ndarray:
+    if _small(x):
+        return np.log(_row_sums(np.exp(x)))
     top = x.max(1)
     return np.log(np.exp(x - top[:, None]).sum(1)) + top
 
 
+def rounds(texts: list[bytes], bounds: np.ndarray) -> np.ndarray:
+    """The round in which each word of the texts is predicted, by its place and the length of its text."""
+    place = np.arange(bounds[-1]) - np.repeat(bounds[:-1], np.diff(bounds))
+    salt = np.repeat(mixed(np.array([len(t) for t in texts], np.uint64)), np.diff(bounds))
+    return mixed(place.astype(np.uint64) ^ salt) % np.uint64(ROUNDS)
+
+
 def fit(documents: DataFrame) -> Network:
-    """The network, trained on words of every document of the table.
+    """The network, trained on every word of every document of the table.
 
-    In each round every task trains its own copy on its part of the table, starting from the common parameters, and
+    A round predicts one word in ROUNDS, so all of them together predict each once.  In a round every task trains its own copy on its part of the table, starting from the common parameters, and
     the copies are averaged, weighted by their words, parameter by parameter.  What reaches the driver is one network.
     """
     known = vocabulary(documents)
@@ -177,9 +199,7 @@ def fit(documents: DataFrame) -> Network:
             for batch in batches:
                 for _, part in chunks(column_bytes(batch, "text")):
                     tokens, bounds = own.tokens(part)
-                    pick = np.arange(len(tokens)) - np.repeat(bounds[:-1], np.diff(bounds))
-                    salt = np.repeat(mixed(np.array([len(t) for t in part], np.uint64)), np.diff(bounds))
-                    chosen = mixed(pick.astype(np.uint64) ^ salt) % np.uint64(MASKED) == turn
+                    chosen = rounds(part, bounds) == turn
                     own.train(own.contexts(tokens, bounds)[chosen], tokens[chosen], squares)
                     n += int(chosen.sum())
             if n:

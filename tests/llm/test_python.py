@@ -269,6 +269,15 @@ def test_pseudo_likelihood(spark):
     assert pseudo_likelihood.score(df.limit(0), pseudo_likelihood.fit(df.limit(0))).count() == 0
 
 
+def test_pseudo_likelihood_predicts_every_word_once():
+    texts = [b"", *[b"word " * n for n in range(1, 400)], b" "]
+    bounds = np.concatenate([[0], np.cumsum([len(t.split()) for t in texts])])
+    turn = pseudo_likelihood.rounds(texts, bounds)
+    shares = np.bincount(turn.astype(int), minlength=pseudo_likelihood.ROUNDS) / bounds[-1]
+    assert len(turn) == bounds[-1] and len(shares) == pseudo_likelihood.ROUNDS
+    assert shares.sum() == 1 and shares.min() > 0.9 / pseudo_likelihood.ROUNDS
+
+
 @pytest.mark.parametrize("split", ["128m", "3000"])
 def test_warc_round_trip(spark, split):
     """Magic strings and whole records inside payloads, cut into splits of any size."""
