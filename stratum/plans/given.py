@@ -12,7 +12,7 @@ from functools import cache, reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratum.session import prepare
+from stratum.session import bound_tasks
 
 _DAY0, _NOON0 = "2024-05-05 00:00:00", "2024-05-05 12:00:00"
 
@@ -50,7 +50,7 @@ class GivenTables:
     """The given tables below one folder and the tables derived from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = prepare(spark), folder
+        self.spark, self.folder = bound_tasks(spark), folder
 
     @cache
     def table(self, name: str) -> DataFrame:
@@ -98,15 +98,19 @@ class GivenTables:
         return F.concat(F.col(column), F.lit("_v"), F.col("b").cast("string"))
 
     @cache
-    def _lines(self) -> DataFrame:
-        """``lineitem`` with ``line_id``: its order and line number repeat, the id does not."""
+    def _lines(self, by_order: bool = False) -> DataFrame:
+        """``lineitem`` with ``line_id``: its order and line number repeat, the id does not.
+
+        ``by_order`` deals the lines out by order, which serves the numbering and a join with ``orders`` alike.
+        """
         repeat = F.row_number().over(
             Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
                 "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"
             )
         )
+        lines = self.table("lineitem")
         return (
-            self.table("lineitem")
+            (lines.repartition("l_orderkey") if by_order else lines)
             .withColumn("line_repeat", repeat)
             .withColumn("line_id", (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100 + F.col("line_repeat"))
         )
@@ -328,7 +332,7 @@ class GivenTables:
 
     @cache
     def _sales(self) -> DataFrame:
-        return self._lines().join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        return self._lines(by_order=True).join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
 
     @staticmethod
     def _sale_columns(amount: Column) -> list[Column]:

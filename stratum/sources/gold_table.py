@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from stratum.operators import gold
 from stratum.schemas import GOLD_SALES
-from stratum.session import prepare
+from stratum.session import bound_tasks
 
 #: Where sales without a date go, as partitions of null are called.
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
@@ -48,7 +48,7 @@ def _month() -> Column:
 
 class GoldTable:
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = prepare(spark), path.rstrip("/")
+        self.spark, self.path = bound_tasks(spark), path.rstrip("/")
 
     def read(self) -> DataFrame:
         """All gold rows."""

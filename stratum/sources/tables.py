@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from stratum.operators.history import snapshot
 from stratum.operators.skew import no_null
 from stratum.schemas import empty, silver_schema, staging_schema
-from stratum.session import prepare
+from stratum.session import bound_tasks
 from stratum.specs import SPECS
 
 STAGING, SILVER, REFUSED = "staging", "silver", "refused"
@@ -54,7 +54,7 @@ BUCKETS = 256
 
 class EntityStore:
     def __init__(self, spark: SparkSession, folder: str, entity: str, buckets: int = BUCKETS):
-        self.spark, self.folder, self.spec = prepare(spark), f"{folder.rstrip('/')}/{entity}", SPECS[entity]
+        self.spark, self.folder, self.spec = bound_tasks(spark), f"{folder.rstrip('/')}/{entity}", SPECS[entity]
         self._new_buckets = buckets if self.spec.style == "E" else None
         staging = staging_schema(entity)
         refused = T.StructType([*staging.fields, T.StructField("reason", T.StringType())])
