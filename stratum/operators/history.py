@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.operators.ordered import KeyedSequence
@@ -51,28 +51,54 @@ def as_of(
     That is the last version that has begun by then, if it still holds; else, and for facts with a NULL in key or
     time, the attributes are NULL.  No fact is lost or repeated.
 
-    Begins of versions and the different times of facts are grouped per key and time, which combines on the map side,
-    and the last version is carried forward along time.  Facts then join their key and time by equality: there is no
-    range join.  A hot key is sliced, a hot time of it salted.
+    Without hot keys versions and facts go through one window along time.  Else begins of versions and the different
+    times of facts are grouped per key and time, which combines on the map side, and the last version is carried
+    forward along time.  Facts then join their key and time by equality: there is no range join.  A hot key is sliced,
+    a hot time of it salted.
     """
     keys, attributes = list(keys), _attributes(versions, keys)
-    begun = _begun(versions, keys, attributes).withColumn("_asked", F.lit(False))
+    begun = _begun(versions, keys, attributes)
+    times = begun.select(*keys, "_at").unionByName(facts.select(*keys, F.col(at).cast("timestamp_ntz").alias("_at")))
+    hot = find_hot_ranges(times.where(no_null([*keys, "_at"])), keys, "_at", hot_rows, look)
+    if hot is None:
+        return _as_of_window(facts, begun, keys, at, attributes, prefix)
+    begun = begun.withColumn("_asked", F.lit(False))
     timed = facts.withColumn("_at", F.col(at).cast("timestamp_ntz"))
     asked = timed.where(no_null([*keys, "_at"])).select(
         *keys, "_at", F.lit(None).cast(begun.schema["_version"].dataType).alias("_version"), F.lit(True).alias("_asked")
     )
     marks = begun.unionByName(asked)
     per_time = marks.groupBy(*keys, "_at").agg(F.max("_version").alias("_version"), F.max("_asked").alias("_asked"))
-    hot = find_hot_ranges(marks, keys, "_at", hot_rows, look)
     sequence = KeyedSequence(per_time, keys, "_at", hot)
     held = sequence.last_known(sequence.rows, F.col("_version"), "_held").where("_asked")
     holds = F.col("_at") < F.col("_held._end")
     lookup = held.select(*keys, "_at", *[F.when(holds, F.col("_held")[c]).alias(f"{prefix}{c}") for c in attributes])
-    hot_times = None if hot is None else find_hot(timed, [*keys, "_at"], hot_rows, look)
+    hot_times = find_hot(timed, [*keys, "_at"], hot_rows, look)
     joined = skew_join(timed, lookup, [*keys, "_at"], "left", hot_times)
     return joined.select(*facts.columns, *[f"{prefix}{c}" for c in attributes])
 
 
+def _as_of_window(
+    facts: DataFrame, begun: DataFrame, keys: Sequence[str], at: str, attributes: Sequence[str], prefix: str
+) -> DataFrame:
+    """Facts take the greatest of the versions begun by their time, which compare by begin, then end and attributes.
+
+    Facts with a NULL in key or time meet no version; they are spread by their content.
+    """
+    fact, version, time = F.struct(*facts.columns), F.struct("_at", "_version"), F.col(at).cast("timestamp_ntz")
+    known = no_null(keys) & time.isNotNull()
+    spread = F.when(known, F.lit(0).cast("long")).otherwise(F.xxhash64(*facts.columns))
+    asked = facts.select(*keys, time.alias("_at"), spread.alias("_spread"), fact.alias("_fact"))
+    marks = begun.select(*keys, "_at", F.lit(0).cast("long").alias("_spread"), version.alias("_begun")).unionByName(
+        asked, allowMissingColumns=True
+    )
+    so_far = Window.partitionBy(*keys, "_spread").orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    held = marks.withColumn("_held", F.max("_begun").over(so_far)).where("_fact IS NOT NULL")
+    last = F.col("_held._version")
+    holds = F.col("_at") < last["_end"]
+    return held.select("_fact.*", *[F.when(holds, last[c]).alias(f"{prefix}{c}") for c in attributes])
+
+
 def snapshot(versions: DataFrame, at: datetime) -> DataFrame:
     """The versions that hold at a time; all that do, where versions of a key overlap."""
     time = F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -66,3 +66,18 @@ def test_bounds_leave_what_the_session_says(spark):
         assert spark.conf.get(name) == "5m"
     finally:
         spark.conf.unset(name)
+
+
+def test_lines_are_dealt_out_once_for_numbers_and_orders(given, no_broadcast):
+    sales = given.salestransactions_staging()
+    assert plan(sales).count("Exchange hashpartitioning") == 2  # lines, orders
+    assert sales.count() == 2
+
+
+def test_as_of_shuffles_versions_and_facts_once(spark, no_broadcast):
+    versions = spark.createDataFrame([(1, _AT, None, "x")], "k long, valid_from timestamp_ntz, valid_to timestamp_ntz, v string")
+    facts = spark.createDataFrame([(7, 1, _AT), (8, 1, None), (9, None, _AT), (9, None, _AT)], "id long, k long, at timestamp_ntz")
+    out = history.as_of(facts, versions, ["k"], "at")
+    assert plan(out).count("Exchange hashpartitioning") == 1
+    assert sorted((r.id, r.asof_v) for r in out.collect() if r.id < 9) == [(7, "x"), (8, None)]
+    assert [r.asof_v for r in out.where("id = 9").collect()] == [None, None]
