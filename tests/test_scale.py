@@ -81,3 +81,16 @@ def test_as_of_shuffles_versions_and_facts_once(spark, no_broadcast):
     assert plan(out).count("Exchange hashpartitioning") == 1
     assert sorted((r.id, r.asof_v) for r in out.collect() if r.id < 9) == [(7, "x"), (8, None)]
     assert [r.asof_v for r in out.where("id = 9").collect()] == [None, None]
+
+
+def test_refresh_reads_stored_sales(given, monkeypatch):
+    """Each refresh reads its sales several times, so they come from a table and not from the merge."""
+    seen, refresh = [], registry.GoldTable.refresh
+
+    def spy(self, sales, *rest, **more):
+        seen.append(plan(sales))
+        return refresh(self, sales, *rest, **more)
+
+    monkeypatch.setattr(registry.GoldTable, "refresh", spy)
+    assert registry.gold_refreshed(given).count() == 2
+    assert len(seen) == 2 and not any("Exchange" in p for p in seen)
