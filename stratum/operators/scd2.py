@@ -5,7 +5,8 @@ The sequence only ever looks at active silver rows, so that is all the merge rea
 history is never scanned.  What a key needs is decided from per-key minima and maxima: some
 pending value differs from some active value exactly when the two ranges are not one single
 point.  That needs one aggregation with map-side combine, and no pairs are ever formed, however
-many versions a key has.
+many versions a key has.  Style D, which judges every row on its own, deals candidates and active
+rows out by key once and compares them where they are, unless there are hot keys.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from stratum.operators.dedupe import latest_by_load_time, pending
 from stratum.operators.skew import HOT_ROWS, LOOK, any_null, find_hot, no_null, skew_join
 from stratum.specs import MergeSpec
 
+_ENDS = {"lo": F.min, "hi": F.max}
+
 
 def any_of(tests: Sequence[Column]) -> Column:
     """OR in which an unknown comparison counts as no difference."""
@@ -74,7 +77,8 @@ class LiteralMerge:
 
     Every attribute is a lazy DataFrame.  ``broadcast_pending`` says that the caller has
     checked that the pending keys fit a broadcast: active rows are then filtered to those keys
-    in place instead of taking part in the shuffle.
+    in place instead of taking part in the shuffle.  ``active_keys`` holds at least the keys of the
+    active rows, each as often, where these are cheaper to look at; hot keys are then sought there.
     """
 
     def __init__(
@@ -84,6 +88,7 @@ class LiteralMerge:
         staging: DataFrame,
         *,
         broadcast_pending: bool = False,
+        active_keys: DataFrame | None = None,
         hot_rows: int = HOT_ROWS,
         look: float = LOOK,
     ):
@@ -92,6 +97,7 @@ class LiteralMerge:
         self.spec, self.staging = spec, staging
         self.keys = list(spec.keys)
         self.active = active
+        self.active_keys = active if active_keys is None else active_keys
         self.broadcast_pending = broadcast_pending
         self.hot_rows, self.look = hot_rows, look
 
@@ -109,7 +115,13 @@ class LiteralMerge:
     @cached_property
     def hot_active(self) -> DataFrame | None:
         """Hot keys among the active rows: literal runs may leave many active rows per key."""
-        return find_hot(self.active, self.keys, self.hot_rows, self.look)
+        return find_hot(self.active_keys, self.keys, self.hot_rows, self.look)
+
+    @cached_property
+    def _in_place(self) -> bool:
+        """Style D without hot keys: see ``_side_by_side``."""
+        plain = self.spec.style == "D" and not self.broadcast_pending
+        return plain and self.hot_candidates is None and self.hot_active is None
 
     # --- candidates -----------------------------------------------------------------------
 
@@ -183,6 +195,32 @@ class LiteralMerge:
                 aggregates += [F.min(value).alias(f"_{side}_lo_{c}"), F.max(value).alias(f"_{side}_hi_{c}")]
         return both.groupBy(*self.keys).agg(*aggregates)
 
+    @cached_property
+    def _side_by_side(self) -> DataFrame:
+        """Style D without hot keys: candidates and active rows (``_new_side`` says which), each with the
+        facts of its key.  Both are dealt out once, and nothing is joined.
+
+        Keys with a NULL equal none: their candidates are unseen, and nothing of them is changed or ends.
+        """
+        tracked, new_side = self.spec.tracked, F.col("_new_side")
+        candidates = self.candidates.withColumn("_new_side", F.lit(True))
+        active = self.active.withColumn("_new_side", F.lit(False))
+        by_key = Window.partitionBy(*self.keys)
+        rows = candidates.unionByName(active, allowMissingColumns=True).withColumns(
+            {
+                "_unseen": ~F.max(~new_side).over(by_key),
+                "_active_complete": F.max(~new_side & no_null(tracked)).over(by_key),
+            }
+        )
+        # The rows of an unseen key are compared with each other, all others with the active ones.
+        against = F.col("_unseen") | ~new_side
+        ranges = {f"_{end}_{c}": of(F.when(against, F.col(c))).over(by_key) for c in tracked for end, of in _ENDS.items()}
+        differs = any_of([F.col(c) != F.col(f"_{end}_{c}") for c in tracked for end in _ENDS])
+        changed = new_side & no_null(self.keys) & differs
+        ended = F.max(F.when(F.col("_changed"), F.col("inserted_at"))).over(by_key)
+        judged = rows.withColumns(ranges).withColumn("_changed", changed).withColumn("_close", ended)
+        return judged.drop(*ranges).withColumn("_unseen", F.col("_unseen") | any_null(self.keys))
+
     @cached_property
     def facts(self) -> DataFrame:
         """Keys with candidates: are they unseen, are they changed, which range to compare with.
@@ -224,6 +262,8 @@ class LiteralMerge:
     @cached_property
     def _compared(self) -> DataFrame:
         """Style D: candidates with their own change flag, taken from the key's ranges."""
+        if self._in_place:
+            return self.decided.drop("_close")
         tracked = self.spec.tracked
         ranges = [F.col(f"_{end}_{c}") for c in tracked for end in ("lo", "hi")]
         lookup = self.facts.select(*self.keys, "_unseen", "_active_complete", *ranges)
@@ -239,6 +279,10 @@ class LiteralMerge:
     def decided(self) -> DataFrame:
         """Candidates with a complete key and what happens to them: ``_unseen``, ``_changed``,
         and ``_close``, the end of the key's active versions if it has changed."""
+        if self._in_place:
+            return self._side_by_side.where(F.col("_new_side") & no_null(self.keys)).select(
+                *self.candidates.columns, "_unseen", "_active_complete", "_changed", "_close"
+            )
         if self.spec.style == "D" and self.hot_candidates is None:
             ended = F.max(F.when(F.col("_changed"), F.col("inserted_at"))).over(Window.partitionBy(*self.keys))
             return self._compared.withColumn("_close", ended)
@@ -319,6 +363,8 @@ class LiteralMerge:
 
     @cached_property
     def _active_with_end(self) -> DataFrame:
+        if self._in_place:
+            return self._side_by_side.where("NOT _new_side").select(*self.active.columns, "_close")
         if self.broadcast_pending:
             return self.active.join(F.broadcast(self.closings), self.keys, "left")
         return skew_join(self.active, self.closings, self.keys, "left", self.hot_active)
@@ -334,25 +380,45 @@ class LiteralMerge:
             .select(*self.active.columns)
         )
 
-    def _opened(self) -> DataFrame:
-        """All rows the run inserts: one pass over the candidates, two rows where an unseen key
-        is inserted, closed and inserted again."""
-        def outcome(valid_to: Column, active: Column) -> Column:
-            return F.struct(valid_to.cast("timestamp_ntz").alias("_to"), active.alias("_active"))
+    @staticmethod
+    def _outcome(valid_to: Column, active: Column) -> Column:
+        return F.struct(valid_to.cast("timestamp_ntz").alias("_to"), active.alias("_active"))
 
-        outcomes = F.array_compact(
+    def _insertions(self) -> Column:
+        """What a candidate is inserted as: two rows where an unseen key is inserted, closed and inserted again."""
+        return F.array_compact(
             F.array(
-                F.when(F.col("_unseen"), outcome(F.col("_close"), F.col("_close").isNull())),
-                F.when(F.col("_changed"), outcome(F.lit(None), F.lit(True))),
+                F.when(F.col("_unseen"), self._outcome(F.col("_close"), F.col("_close").isNull())),
+                F.when(F.col("_changed"), self._outcome(F.lit(None), F.lit(True))),
             )
         )
-        rows = self.decided.where("_unseen OR _changed").select(*self.candidates.columns, F.inline(outcomes))
+
+    def _opened(self) -> DataFrame:
+        """All rows the run inserts, in one pass over the candidates."""
+        rows = self.decided.where("_unseen OR _changed").select(*self.candidates.columns, F.inline(self._insertions()))
         return version_rows(self.spec, rows, F.col("_to"), F.col("_active")).unionByName(
             open_rows(self.spec, self.keyless)
         )
 
+    def _delta_in_place(self) -> DataFrame:
+        """``delta`` in one pass over candidates, with a complete key or not, and active rows."""
+        ends, new_side = F.col("_close").isNotNull(), F.col("_new_side")
+        stays = self._outcome(F.coalesce("_close", "valid_to"), F.when(ends, F.lit(False)).otherwise(F.col("active")))
+        outcomes = F.when(new_side, self._insertions()).otherwise(F.array(stays))
+        opened = {"valid_from": "inserted_at", "load_timestamp": "inserted_at", "source_date": "origin_date"}
+        rows = self._side_by_side.select("*", F.inline(outcomes)).withColumns(
+            {
+                **{c: F.when(new_side, F.col(since)).otherwise(F.col(c)) for c, since in opened.items()},
+                "valid_to": F.col("_to"),
+                "active": F.col("_active"),
+            }
+        )
+        return rows.select(*self.active.columns)
+
     def delta(self) -> DataFrame:
         """Active rows as the run leaves them, open or just closed, and everything it inserts."""
+        if self._in_place:
+            return self._delta_in_place()
         return self._ended(self._active_with_end).unionByName(self._opened())
 
     def result(self, history: DataFrame) -> DataFrame:
@@ -368,4 +434,4 @@ def split_history(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
 def merge(spec: MergeSpec, silver: DataFrame, staging: DataFrame, **options) -> DataFrame:
     """Silver after one literal merge run."""
     active, history = split_history(silver)
-    return LiteralMerge(spec, active, staging, **options).result(history)
+    return LiteralMerge(spec, active, staging, active_keys=silver, **options).result(history)

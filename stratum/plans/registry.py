@@ -32,9 +32,11 @@ def _on(build: Callable[[GivenTables], DataFrame]) -> Query:
 # --- silver ---------------------------------------------------------------------------------
 
 
-def literal(given: GivenTables, entity: str) -> scd2.LiteralMerge:
-    active, _ = scd2.split_history(given.silver(entity))
-    return scd2.LiteralMerge(SPECS[entity], active, given.staging(entity))
+def literal(given: GivenTables, entity: str, staging: DataFrame | None = None) -> scd2.LiteralMerge:
+    silver = given.silver(entity)
+    active, _ = scd2.split_history(silver)
+    pending = given.staging(entity) if staging is None else staging
+    return scd2.LiteralMerge(SPECS[entity], active, pending, active_keys=silver)
 
 
 def merged(given: GivenTables, entity: str) -> DataFrame:
@@ -165,10 +167,11 @@ def duplicate_transactions(g: GivenTables) -> DataFrame:
 
 
 def after_repeats(g: GivenTables, entity: str) -> DataFrame:
-    """Silver after the literal merge; changed recipes came twice in one load, as else none would be active twice."""
-    if entity != "recipes":
-        return merged(g, entity)
-    return scd2.merge(SPECS[entity], g.recipes_silver(), g.recipes_repeated())
+    """What the literal merge leaves active, and what it has closed; what was closed before cannot be active twice.
+
+    Changed recipes came twice in one load, as else none would be active twice.
+    """
+    return literal(g, entity, g.recipes_repeated() if entity == "recipes" else None).delta()
 
 
 def _quality_queries() -> dict[str, Query]:

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.operators import history
+from stratum.operators import history, scd2
 from stratum.plans import registry
 from stratum.plans.given import GivenTables
 from stratum.session import bound_tasks
@@ -94,3 +94,23 @@ def test_refresh_reads_stored_sales(given, monkeypatch):
     monkeypatch.setattr(registry.GoldTable, "refresh", spy)
     assert registry.gold_refreshed(given).count() == 2
     assert len(seen) == 2 and not any("Exchange" in p for p in seen)
+
+
+def test_stocks_that_are_active_twice_are_found_by_one_exchange_of_the_merge(spark, tmp_path, no_broadcast):
+    schema, _ = TABLES["lineitem"]
+    lines = [(order, 1, 1, 1, 1.0 + order, 10.0, 0.0, 0.0, "N", "O", _AT) for order in (1, 2, 3)]
+    keyless = [(order, 2, 1, 1, 1.0, 10.0, 0.09, 0.08, "N", "O", _AT) for order in (4, 5)]
+    spark.createDataFrame(lines + keyless, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = registry.all_queries()["dq_duplicate_active_stocks"](spark, str(tmp_path))
+    assert plan(found).count("Exchange hashpartitioning") == 2  # history of stocks, and it with what is pending
+    assert "Join" not in plan(found)
+    assert {(r.key, r.n) for r in found.collect()} == {("1|1", 2), ("1|NULL", 2)}
+
+
+def test_hot_stocks_are_sought_without_computing_which_are_active(spark, tmp_path, monkeypatch):
+    schema, rows = TABLES["lineitem"]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    looked = []
+    monkeypatch.setattr(scd2, "find_hot", lambda rows, keys, *_: looked.append(plan(rows.select(*keys))))
+    assert registry.merged(GivenTables(spark, str(tmp_path)), "stocks").count() == 3
+    assert len(looked) == 2 and not any("Exchange" in p for p in looked)
