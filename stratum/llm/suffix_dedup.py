@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.llm.common import arrow_batches, salted_join, stored
+from stratum.llm.common import arrow_batches, discard, salted_join, stored
 
 #: A string of this many bytes that starts in two places is removed.
 LENGTH = 200
@@ -390,45 +390,48 @@ def repeated_spans(documents: DataFrame, text: str = "text") -> DataFrame:
     ``LENGTH`` bytes are covered from end to end.  Rows are kept one to one, with all columns.
     """
     rows = documents.select(
-        F.struct(*[c for c in documents.columns if c != text]).alias("_rest"),
-        F.coalesce(F.col(text), F.lit("")).alias("_text"), F.col(text).isNull().alias("_null"),
+        F.struct(*[c for c in documents.columns if c != text]).alias("_rest"), F.col(text).alias("_text"),
     )
+    whole_text = F.coalesce("_text", F.lit(""))
     rows = rows.withColumns({
-        "_md5": F.unhex(F.md5(F.col("_text").cast("binary"))),
+        "_md5": F.unhex(F.md5(whole_text.cast("binary"))),
         "_salt": F.pmod(_row_hash(), F.lit(SALTS)).cast("int"),
     })
-    lists = stored(_anchor_lists(rows.select("_md5", "_salt", _row_hash().alias("_row"), "_text")), "anchors")
-    # One row per different text, with the salt of one of its rows.
+    lists = _anchor_lists(rows.select("_md5", "_salt", _row_hash().alias("_row"), "_text"))
+    # One row per different text, with the salt of one of its rows.  Anchors travel with a number of their text, not with its keys.
     texts = stored(
         lists.groupBy("_md5").agg(F.count("*").alias("_n"), F.min_by(F.struct("_salt", "_row", "_anchors"), "_row").alias("_one"))
-        .select("_md5", "_n", "_one.*"),
+        .select(F.monotonically_increasing_id().alias("_text_id"), "_md5", "_n", "_one.*"),
         "texts",
     )
-    found = texts.select(*_KEYS, "_row", F.explode("_anchors").alias("_anchor"))
-    counts = stored(found.groupBy("_anchor").agg(F.count("*").alias("_times")).where("_times > 1"), "repeated-anchors")
-    matched = found.distinct().join(counts, "_anchor")
-    wanted = stored(
-        matched.groupBy(*_KEYS, "_row").agg(
-            F.collect_list(F.when(F.col("_times") <= HOT_ANCHOR, F.col("_anchor"))).alias("_wanted"),
-            F.collect_list(F.when(F.col("_times") > HOT_ANCHOR, F.col("_anchor"))).alias("_hot"),
-        ),
-        "wanted-anchors",
+    every = texts.select(F.explode("_anchors").alias("_anchor"))
+    counts = stored(every.groupBy("_anchor").agg(F.count("*").alias("_times")).where("_times > 1"), "repeated-anchors")
+    found = texts.select("_text_id", F.explode(F.array_distinct("_anchors")).alias("_anchor"))
+    matched = found.join(counts, "_anchor").groupBy("_text_id").agg(
+        F.collect_list(F.when(F.col("_times") <= HOT_ANCHOR, F.col("_anchor"))).alias("_wanted"),
+        F.collect_list(F.when(F.col("_times") > HOT_ANCHOR, F.col("_anchor"))).alias("_hot"),
     )
+    wanted = stored(texts.select("_text_id", *_KEYS, "_row").join(matched, "_text_id").drop("_text_id"), "wanted-anchors")
+    copied = stored(texts.where("_n > 1").select("_md5"), "copied-texts")
+    discard(counts, texts)
     n = wanted.agg(F.sum(F.size("_wanted"))).first()[0] or 0
     buckets = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n * _PIECE // BUCKET_BYTES))
-    # Both uses of the texts read one exchange: Python gets all columns of it.
-    with_wanted = rows.join(wanted, list(_KEYS)).where(_row_hash() == F.col("_row"))
-    spans = _ordered(_pieces(with_wanted, buckets), buckets)
+    # All uses of the texts read one exchange, so all have the same columns and outer joins: an inner one, or a filter that
+    # makes it one, would put a filter of its own before the exchange.
+    met, named = rows.join(wanted, list(_KEYS), "left"), _row_hash() == F.col("_row")
+    chosen = lambda rule, column: met.where(F.coalesce(rule, F.lit(False))).select(*_KEYS, "_text", column)
+    spans = _ordered(_pieces(chosen(named, "_wanted"), buckets), buckets)
     if not wanted.where(F.size("_hot") > 0).isEmpty():
-        spans = spans.unionByName(_counted_windows(with_wanted.where(F.size("_hot") > 0)))
+        spans = spans.unionByName(_counted_windows(chosen(named & (F.size("_hot") > 0), "_hot")))
     merged = spans.groupBy(*_KEYS).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_list"))
-    copies = texts.where("_n > 1").select("_md5", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"), F.lit(True).alias("_copied"))
-    joined = rows.join(merged, list(_KEYS), "left").join(copies, list(_KEYS), "left")
-    size = F.octet_length("_text").cast("long")
+    copies = copied.select("_md5", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"), F.lit(True).alias("_copied"))
+    # A small file of keys is many rows with all salts: too many to broadcast.
+    joined = rows.join(merged, list(_KEYS), "left").join(copies.hint("merge"), list(_KEYS), "left")
+    size = F.octet_length(whole_text).cast("long")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("end")))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     covered = F.when(size < LENGTH, none).when(F.col("_copied"), whole).otherwise(F.coalesce(_merged(F.col("_list")), none))
-    return joined.select("_rest", "_text", "_null", covered.alias("_spans"))
+    return joined.select("_rest", whole_text.alias("_text"), F.col("_text").isNull().alias("_null"), covered.alias("_spans"))
 
 
 def _kept() -> Column:

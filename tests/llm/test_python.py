@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, language_id, minhash, pseudo_likelihood, suffix_dedup, warc
+from stratum.llm import bpe, common, language_id, minhash, pseudo_likelihood, suffix_dedup, warc
 from stratum.llm.queries import tokenizer_path
 from tests.llm.cases import edge_documents, edge_rows, words
 
@@ -129,6 +129,32 @@ def test_repeated_strings_edges(spark):
     assert suffix_dedup.removed(edge_documents(spark).limit(0)).count() == 0
 
 
+def test_repeated_strings_leave_little_behind(spark, monkeypatch, tmp_path):
+    rnd, own = random.Random(4), common.shared_folder
+    monkeypatch.setattr(common, "shared_folder", lambda spark, purpose: f"{tmp_path}/{own(spark, purpose).rsplit('/', 1)[1]}")
+    raw = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    shared = raw(500)
+    df = spark.createDataFrame([(i, raw(20_000) + shared) for i in range(40)], "doc_id long, text string")
+    assert suffix_dedup.removed(df).where("n_removed >= 500").count() == 40
+    assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < 40_000  # the anchors found several times, not all
+
+
+def test_repeated_strings_exchange_texts_once(spark, capsys):
+    rnd = random.Random(5)
+    raw = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    shared = raw(500)
+    df = spark.createDataFrame([(i, raw(2_000) + shared, "x") for i in range(20)], "doc_id long, text string, lang string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large tables
+    try:
+        for result in (suffix_dedup.removed(df), suffix_dedup.without_repeats(df)):
+            result.collect()
+            result.explain()
+            assert "ReusedExchange" in capsys.readouterr().out
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_cut_characters_go_and_replacement_characters_stay(spark):
     rnd = random.Random(9)
     shared = "".join(rnd.choice("abcdef ") for _ in range(260))
