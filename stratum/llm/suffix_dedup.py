@@ -42,7 +42,9 @@ BUCKET_BYTES, SALTS = 32 << 20, 16
 #: An anchor with more pieces has its windows counted by 128-bit digests instead, spread over all tasks.
 HOT_ANCHOR = 50_000
 
-_CHUNK = 1 << 20
+#: Bytes of documents looked at together, if they are not one document; anchors whose pieces are cut out together.
+_CHUNK, _BLOCK = 1 << 18, 1 << 13
+
 _PAD = 0xFF  # no byte of UTF-8 text
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64(2**64 - 1)
@@ -166,6 +168,12 @@ def _cut(data: np.ndarray, start: np.ndarray, end: np.ndarray, places: np.ndarra
     return found
 
 
+def _blocks(*columns: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Rows of the columns, so many at once: of a text that is one character over and over every byte is an anchor."""
+    for at in range(0, len(columns[0]), _BLOCK):
+        yield tuple(c[at : at + _BLOCK] for c in columns)
+
+
 def _text_bytes(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
 
@@ -237,21 +245,20 @@ def _pieces(rows: DataFrame, buckets: int) -> DataFrame:
             md5 = np.frombuffer(b"".join(batch.column("_md5").to_pylist()), np.uint8).reshape(-1, 16)
             salt = np.asarray(batch.column("_salt"), np.int32)
             for at, data, starts, ends, owner, places, hashes in _located(batch, "_wanted"):
-                if not len(places):
-                    continue
-                found = _cut(data, starts[owner], ends[owner], places)
-                # Equal pieces of a document travel once, with all their places.
-                tagged = np.concatenate([owner.astype(np.int64).view(np.uint8).reshape(-1, 8), hashes.view(np.uint8).reshape(-1, 8), found], 1)
-                _, one, which, counts = np.unique(
-                    tagged.view(f"V{tagged.shape[1]}").ravel(), return_index=True, return_inverse=True, return_counts=True
-                )
-                spots = (places - starts[owner])[np.argsort(which, kind="stable")]
-                own = owner[one] + at
-                parts.append((hashes[one], md5[own], salt[own], counts.astype(np.int64), spots, found[one]))
-                held += len(one) * _PIECE
-            if held > BUCKET_BYTES // 2:
-                yield from pack(parts)
-                parts, held = [], 0
+                for own, place, hash_ in _blocks(owner, places, hashes):
+                    found = _cut(data, starts[own], ends[own], place)
+                    # Equal pieces of a document travel once, with all their places of the block.
+                    tagged = np.concatenate([own.astype(np.int64).view(np.uint8).reshape(-1, 8), hash_.view(np.uint8).reshape(-1, 8), found], 1)
+                    _, one, which, counts = np.unique(
+                        tagged.view(f"V{tagged.shape[1]}").ravel(), return_index=True, return_inverse=True, return_counts=True
+                    )
+                    spots = (place - starts[own])[np.argsort(which, kind="stable")]
+                    row = own[one] + at
+                    parts.append((hash_[one], md5[row], salt[row], counts.astype(np.int64), spots, found[one]))
+                    held += len(one) * _PIECE
+                    if held > BUCKET_BYTES // 2:
+                        yield from pack(parts)
+                        parts, held = [], 0
         if parts:
             yield from pack(parts)
 
@@ -341,21 +348,22 @@ def _counted_windows(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             md5, salt = batch.column("_md5").to_pylist(), batch.column("_salt").to_pylist()
-            out: list[tuple] = []
             for at, data, starts, ends, owner, places, _ in _located(batch, "_hot"):
-                near = np.unique((places[:, None] + np.arange(-_SPREAD, 1)).ravel())
+                reach = np.zeros(len(data) + 1, np.int32)
+                np.add.at(reach, np.maximum(places - _SPREAD, 0), 1)
+                np.add.at(reach, places + 1, -1)
+                near = np.flatnonzero(np.cumsum(reach[:-1]) > 0)
                 whose = np.searchsorted(ends, near, side="right")
-                ok = (near >= 0) & (whose < len(ends))
-                near, whose = near[ok], whose[ok]
                 ok = near + LENGTH <= ends[whose]
-                for p, i in zip(near[ok].tolist(), whose[ok].tolist(), strict=True):
-                    digest = hashlib.blake2b(data[p : p + LENGTH].tobytes(), digest_size=16).digest()
-                    out.append((digest, md5[at + i], salt[at + i], p - int(starts[i])))
-            columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.binary(), pa.int32(), pa.int64()), strict=True)],
-                ["digest", *_KEYS, "start"],
-            )
+                for spots, rows_ in _blocks(near[ok], whose[ok]):
+                    out = [
+                        (hashlib.blake2b(data[p : p + LENGTH].tobytes(), digest_size=16).digest(), md5[at + i], salt[at + i], p - int(starts[i]))
+                        for p, i in zip(spots.tolist(), rows_.tolist(), strict=True)
+                    ]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.binary(), pa.binary(), pa.int32(), pa.int64()), strict=True)],
+                        ["digest", *_KEYS, "start"],
+                    )
 
     windows = stored(arrow_batches(rows).mapInArrow(run, "digest binary, _md5 binary, _salt int, start long"), "hot-windows")
     repeated = windows.groupBy("digest").count().where("count > 1").select("digest")

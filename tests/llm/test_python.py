@@ -9,8 +9,10 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +131,33 @@ def test_repeated_strings_edges(spark):
     assert suffix_dedup.removed(edge_documents(spark).limit(0)).count() == 0
 
 
+def test_repeated_strings_of_one_character(spark):
+    texts = ["a" * 20_000, "b" + "a" * 9_000 + "c", "ab" * 5_000, "x" * 199 + "y" * 199, "z" * 201]  # more than a block of anchors
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(2)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.removed(df).collect()}
+    assert got == dict(enumerate(_covered(texts)))
+
+
+def test_pieces_of_one_character_take_little_memory(spark, monkeypatch):
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(suffix_dedup, "arrow_batches", lambda rows: Rows())
+    text = b"a" * 120_000
+    data = np.frombuffer(text, np.uint8)
+    wanted = np.unique(suffix_dedup.anchors(data, np.array([0]), np.array([len(data)]))[1]).view(np.int64)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([b"k" * 16]), pa.array([0], pa.int32()), pa.array([text.decode()]), pa.array([wanted.tolist()], pa.list_(pa.int64()))],
+        ["_md5", "_salt", "_text", "_wanted"],
+    )
+    tracemalloc.start()
+    packed = sum(b.num_rows for b in suffix_dedup._pieces(None, 1)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert packed == 1 and peak < 150e6
+
+
 def test_repeated_strings_leave_little_behind(spark, monkeypatch, tmp_path):
     rnd, own = random.Random(4), common.shared_folder
     monkeypatch.setattr(common, "shared_folder", lambda spark, purpose: f"{tmp_path}/{own(spark, purpose).rsplit('/', 1)[1]}")
