@@ -305,6 +305,37 @@ def test_components(spark):
     assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
 
 
+@pytest.mark.parametrize("at_once", [0, 200_000])
+def test_links_do_not_pass_the_driver(spark, monkeypatch, at_once):
+    rnd, name = random.Random(4), lambda i: hashlib.md5(str(i).encode()).digest()
+    edges = {(name(rnd.randrange(400)), name(400 + rnd.randrange(400))) for _ in range(300)}
+    links, none = (spark.createDataFrame(pa.table(
+        {"a": pa.array([a for a, _ in rows], pa.binary()), "b": pa.array([b for _, b in rows], pa.binary())}
+    )) for rows in (edges, set()))
+    root = {x: x for e in edges for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+
+    def refused(*args, **options):
+        raise AssertionError("links are brought to the driver")
+
+    with monkeypatch.context() as patched:
+        for owner, method in ((type(links), "toArrow"), (type(links), "collect"), (type(spark), "createDataFrame")):
+            patched.setattr(owner, method, refused)
+        patched.setattr(minhash, "_LINKS_AT_ONCE", at_once, raising=False)
+        patched.setattr(minhash, "components", lambda e: e.selectExpr("a AS node", "b AS root"))
+        roots, empty = minhash._roots(links), minhash._roots(none)
+    if at_once:
+        assert {bytes(r.node): bytes(r.root) for r in roots.collect()} == {x: find(x) for x in root}
+    assert roots.count() == (len(root) if at_once else len(edges)) and empty.count() == 0
+
+
 def test_pseudo_likelihood(spark):
     """Text in its order is likelier than the same words shuffled; probabilities of a gap add up to one."""
     rnd = random.Random(3)
