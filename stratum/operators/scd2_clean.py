@@ -71,8 +71,31 @@ class CleanMerge:
         )
 
     @cached_property
-    def delta(self) -> DataFrame:
-        """Everything that replaces the active rows: kept, closed and new versions."""
+    def _hot_times(self) -> DataFrame | None:
+        times = self._pending.select(*self.keys, F.col("inserted_at").alias("valid_from"))
+        return find_hot_ranges(times, self.keys, "valid_from", self.hot_rows, self.look)
+
+    def _states(self) -> DataFrame:
+        """Active rows and the pending ones that are newer, one of each time.
+
+        Without hot keys both are dealt out and sorted by key once: nothing is joined, and the windows that follow
+        find their rows where they are.
+        """
+        last_of_time = [F.col("row_id").desc()]
+        if self._hot_times is None:
+            load = self.active.schema["load_timestamp"].dataType
+            pending_rows = to_silver_names(self.spec, self._pending).where(no_null(self.keys)).select(
+                *self.keys, *self.tracked, F.col("inserted_at").alias("valid_from"), F.lit(None).cast(load).alias("load_timestamp"),
+                F.col("origin_date").alias("source_date"), "row_id", F.lit(False).alias("_current"),
+            )
+            both = self._current.withColumn("_current", F.lit(True)).unionByName(pending_rows)
+            whole = (Window.unboundedPreceding, Window.unboundedFollowing)
+            of_key = Window.partitionBy(*self.keys).orderBy("valid_from", *last_of_time).rowsBetween(*whole)
+            since = F.max(F.when(F.col("_current"), F.col("valid_from"))).over(of_key)
+            newer = both.withColumn("_since", since).where("_current OR _since IS NULL OR valid_from > _since")
+            loaded = F.when(F.col("_current"), F.col("load_timestamp")).otherwise(F.col("valid_from"))
+            rows = newer.withColumn("load_timestamp", loaded).drop("_since", "_current")
+            return latest_per_key(rows, [*self.keys, "valid_from"], last_of_time)
         fresh = self._dated.where("_since IS NULL OR inserted_at > _since").select(
             *self.keys,
             *self.tracked,
@@ -81,15 +104,19 @@ class CleanMerge:
             F.col("origin_date").alias("source_date"),
             "row_id",
         )
-        current = self.active.select(
+        return latest_per_key(self._current.unionByName(fresh), [*self.keys, "valid_from"], last_of_time)
+
+    @property
+    def _current(self) -> DataFrame:
+        return self.active.select(
             *self.keys, *self.tracked, "valid_from", "load_timestamp", "source_date",
             F.lit(_ACTIVE_ID).cast("long").alias("row_id"),
         )
-        times = self._pending.select(*self.keys, F.col("inserted_at").alias("valid_from"))
-        hot = find_hot_ranges(times, self.keys, "valid_from", self.hot_rows, self.look)
-        last_of_time = [F.col("row_id").desc()]
-        states = latest_per_key(current.unionByName(fresh), [*self.keys, "valid_from"], last_of_time)
-        timeline = KeyedSequence(states, self.keys, "valid_from", hot)
+
+    @cached_property
+    def delta(self) -> DataFrame:
+        """Everything that replaces the active rows: kept, closed and new versions."""
+        timeline = KeyedSequence(self._states(), self.keys, "valid_from", self._hot_times)
         state = F.struct(*self.tracked)
         states = timeline.previous(timeline.rows, state, "_previous")
         steps = states.where(F.col("_previous").isNull() | ~F.col("_previous").eqNullSafe(state))

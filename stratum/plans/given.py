@@ -103,16 +103,18 @@ class GivenTables:
 
         ``by_order`` deals the lines out by order, which serves the numbering and a join with ``orders`` alike.
         """
+        lines = self.table("lineitem")
+        return self._numbered(lines.repartition("l_orderkey") if by_order else lines)
+
+    @staticmethod
+    def _numbered(lines: DataFrame) -> DataFrame:
         repeat = F.row_number().over(
             Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
                 "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"
             )
         )
-        lines = self.table("lineitem")
-        return (
-            (lines.repartition("l_orderkey") if by_order else lines)
-            .withColumn("line_repeat", repeat)
-            .withColumn("line_id", (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100 + F.col("line_repeat"))
+        return lines.withColumn("line_repeat", repeat).withColumn(
+            "line_id", (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100 + F.col("line_repeat")
         )
 
     # --- simple keys ----------------------------------------------------------------------
@@ -316,12 +318,18 @@ class GivenTables:
     def stocks_staging(self) -> DataFrame:
         """The same deliveries counted again 30 days later; open ones have grown by one litre."""
         counted = F.expr("l_shipdate + INTERVAL '30' DAY")
-        return self._lines().select(
+        # What lines are numbered with goes through an exchange, so it holds what is made of the other columns.
+        lines = self.table("lineitem").withColumns({
+            "flavour_known": (F.col("l_tax") < 0.075) | (F.col("l_discount") < 0.085),
+            "quantity_liters": _cases(F.col("l_quantity"), (F.col("l_linestatus") == "O", F.col("l_quantity") + 1)),
+            "location": F.when(F.col("l_discount") > 0.005, F.col("l_returnflag")),
+        })
+        return self._numbered(lines).select(
             F.col("line_id").alias("row_id"),
             F.col("l_suppkey").alias("stock_id"),
-            F.when((F.col("l_tax") < 0.075) | (F.col("l_discount") < 0.085), F.col("l_partkey")).alias("flavour_id"),
-            _cases(F.col("l_quantity"), (F.col("l_linestatus") == "O", F.col("l_quantity") + 1)).alias("quantity_liters"),
-            F.when(F.col("l_discount") > 0.005, F.col("l_returnflag")).alias("location"),
+            F.when(F.col("flavour_known"), F.col("l_partkey")).alias("flavour_id"),
+            "quantity_liters",
+            "location",
             counted.alias("inserted_at"),
             F.col("l_linenumber").alias("batch_value"),
             counted.cast("date").alias("origin_date"),

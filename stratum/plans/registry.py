@@ -16,7 +16,7 @@ from stratum.plans.layers import Layers
 from stratum.schemas import LANDING, staging_name
 from stratum.sources import landing
 from stratum.sources.gold_table import GoldTable
-from stratum.sources.workspace import shared_folder
+from stratum.sources.workspace import shared_folder, stored
 from stratum.specs import HISTORY_ENTITIES, SPECS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,7 +44,12 @@ def merged(given: GivenTables, entity: str) -> DataFrame:
 
 
 def merged_clean(given: GivenTables, entity: str) -> DataFrame:
-    return scd2_clean.merge(SPECS[entity], given.silver(entity), given.staging(entity))
+    silver, staging = given.silver(entity), given.staging(entity)
+    if entity == "stocks":
+        # Both are made of windows over all lines.  Stored, as in the layers, they leave no shuffles beside those of the merge.
+        store = shared_folder(given.spark, "stocks")
+        silver, staging = stored(silver, f"{store}/silver"), stored(staging, f"{store}/staging")
+    return scd2_clean.merge(SPECS[entity], silver, staging)
 
 
 def upserted(given: GivenTables) -> DataFrame:

@@ -1,6 +1,6 @@
 """Plans whose shuffles and tasks must not outgrow the tables."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,3 +114,15 @@ def test_hot_stocks_are_sought_without_computing_which_are_active(spark, tmp_pat
     monkeypatch.setattr(scd2, "find_hot", lambda rows, keys, *_: looked.append(plan(rows.select(*keys))))
     assert registry.merged(GivenTables(spark, str(tmp_path)), "stocks").count() == 3
     assert len(looked) == 2 and not any("Exchange" in p for p in looked)
+
+
+def test_clean_merge_of_stocks_deals_rows_out_once(spark, tmp_path, no_broadcast):
+    schema, _ = TABLES["lineitem"]
+    lines = [(order, 1, 1, 1, 1.0 + order, 10.0, 0.0, 0.01, "N", "O", _AT + timedelta(days=40 * order)) for order in (1, 2, 3)]
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    merged = registry.all_queries()["scd2_merge_clean_stocks"](spark, str(tmp_path))
+    assert plan(merged).count("Exchange hashpartitioning") == 1
+    days = lambda at: None if at is None else (at - _AT).days
+    assert sorted((days(r.valid_from), days(r.valid_to), r.active) for r in merged.collect()) == [
+        (40, 80, False), (80, 120, False), (120, 150, False), (150, None, True)
+    ]
