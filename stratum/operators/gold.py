@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from stratum.functions.money import cents, exact
 from stratum.operators.skew import HOT_ROWS, LOOK, find_hot, skew_join
 
+#: What a gold row takes from its sale.
+SALE = ("transaction_id", "customer_id", "flavour_id", "quantity_liters", "transaction_date", "amount_dollar")
+
 
 def cost_per_flavour(recipes: DataFrame, ingredients: DataFrame) -> DataFrame:
     """Average cost of a gram of each flavour, weighted by quantity, rounded to cents.
@@ -95,9 +98,7 @@ def priced_sales(
     hot: tuple[DataFrame | None, DataFrame | None] | None = None,
 ) -> DataFrame:
     """Sales joined with ``customer_names`` and ``priced_flavours``; ``hot`` gives their ``hot_keys`` if known."""
-    fact = sales.select(
-        "transaction_id", "customer_id", "flavour_id", "quantity_liters", "transaction_date", "amount_dollar"
-    )
+    fact = sales.select(*SALE)
     if not unique_sales:
         fact = fact.distinct()
     hot_flavours, hot_customers = hot or hot_keys(sales if sales_keys is None else sales_keys, hot_rows, look)

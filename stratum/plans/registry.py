@@ -91,16 +91,12 @@ def gold_refreshed(given: GivenTables) -> DataFrame:
     """Stored gold of day 0, refreshed after the merge of ingredients has changed costs and the upsert sales."""
     table, store = GoldTable(given.spark, shared_folder(given.spark, "gold")), shared_folder(given.spark, "silver")
     names, recipes = (given.customers_silver(), given.flavours_silver()), given.recipes_silver()
-
-    def stored(rows: DataFrame, name: str) -> DataFrame:
-        """A refresh reads its inputs several times, so each is computed once, as it is in the layers."""
-        rows.write.parquet(f"{store}/{name}")
-        return given.spark.read.schema(rows.schema).parquet(f"{store}/{name}")
-
-    before = stored(given.salestransactions_silver(), "day0")
+    # A refresh reads its inputs several times, so each is computed once, as it is in the layers.
+    before = stored(given.salestransactions_silver(), f"{store}/day0")
     table.refresh(before, *names, recipes, given.ingredients_silver())
-    pending = dedupe.pending(given.salestransactions_staging()).select("transaction_id")
-    after = stored(scd1.upsert(before, given.salestransactions_staging()), "day1")
+    staging = stored(given.salestransactions_staging(), f"{store}/staging")
+    after = stored(scd1.upsert(before, staging), f"{store}/day1")
+    pending = dedupe.pending(staging).select("transaction_id")
     table.refresh(after, *names, recipes, merged(given, "ingredients"), changed_sales=pending)
     return table.read()
 

@@ -2,7 +2,7 @@
 
     <path>/month=<yyyy-MM>        gold rows; months that no change touches keep their files
     <path>/_refresh/log           one row when a refresh begins to write and one when it is done
-    <path>/_refresh/<refresh>     names and costs that the refresh joined
+    <path>/_refresh/<refresh>     names and costs that the refresh joined; while it runs, also rows between its steps
 
 One writer per table.  While months are overwritten, readers may see some before and some after the change.
 """
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from stratum.operators import gold
 from stratum.schemas import GOLD_SALES
 from stratum.session import bound_tasks
+from stratum.sources.workspace import shuffles_removed, stored
 
 #: Where sales without a date go, as partitions of null are called.
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
@@ -76,11 +77,25 @@ class GoldTable:
         ``changed_sales`` (``transaction_id`` of those that may have changed; None: all may) tell which sales to look at.
         Their gold rows are compared with the stored ones, and months that hold a difference are written again from all
         their sales.  The months are logged first, so those of a refresh that died are written by the next one.
+        Each step's rows are stored, so that the disk holds what one step shuffles and not what all do.
         """
+        with shuffles_removed(self.spark):
+            return self._refresh(sales, customers, flavours, recipes, ingredients, changed_sales, sources)
+
+    def _refresh(
+        self,
+        sales: DataFrame,
+        customers: DataFrame,
+        flavours: DataFrame,
+        recipes: DataFrame,
+        ingredients: DataFrame,
+        changed_sales: DataFrame | None,
+        sources: Iterable[str],
+    ) -> list[str]:
         log, last = self._log(), self._finished()
         folder = f"{self.path}/_refresh/{uuid.uuid4().hex[:12]}"
-        names = self._kept(gold.customer_names(customers), f"{folder}/customers")
-        priced = self._kept(gold.priced_flavours(flavours, recipes, ingredients), f"{folder}/flavours")
+        names = stored(gold.customer_names(customers), f"{folder}/customers")
+        priced = stored(gold.priced_flavours(flavours, recipes, ingredients), f"{folder}/flavours")
         hot = gold.hot_keys(sales)
         star = lambda rows: gold.priced_sales(rows, names, priced, hot=hot)
         if last.turn:
@@ -89,22 +104,24 @@ class GoldTable:
                 "customer_id": differing(self.spark.read.schema(names.schema).parquet(f"{then}/customers"), names),
                 "flavour_id": differing(self.spark.read.schema(priced.schema).parquet(f"{then}/flavours"), priced),
             }
-            if changed_sales is None:
-                looked_at = lambda rows: rows
-            else:
+            looked_at, old = sales, self.read()
+            if changed_sales is not None:
                 keys = {k: rows.select(k).distinct() for k, rows in (marks | {"transaction_id": changed_sales}).items()}
-                looked_at = lambda rows: _with_any(rows, keys)
-            changed = differing(looked_at(self.read()), star(looked_at(sales)))
+                looked_at = stored(_with_any(sales.select(*gold.SALE), keys), f"{folder}/steps/sales")
+                old = stored(_with_any(old, keys), f"{folder}/steps/old")
+            changed = differing(old, stored(star(looked_at), f"{folder}/steps/new"))
         else:
-            changed = star(sales)
+            changed = stored(star(sales), f"{folder}/steps/all")
         months = {r.month for r in changed.select(_month().alias("month")).distinct().collect()}  # one per month
+        if last.turn:
+            self._remove(f"{folder.removeprefix(self.path + '/')}/steps")
         unfinished = log.where((F.col("turn") > last.turn) & ~F.col("done"))
         months |= {r.month for r in unfinished.select(F.explode("months").alias("month")).distinct().collect()}
         turn, name = (log.agg(F.max("turn")).first()[0] or 0) + 1, folder.rpartition("/")[2]
         entry = {"turn": turn, "refresh": name, "months": sorted(months), "sources": sorted(sources)}
         if months:
             self._note(entry | {"done": False})
-            fresh = star(sales.where(_month().isin(*months)))
+            fresh = stored(star(sales.where(_month().isin(*months))), f"{folder}/steps/fresh") if last.turn else changed
             self._write(fresh)
             if entry["turn"] > 1:
                 # Months without rows have not been overwritten.
@@ -112,6 +129,7 @@ class GoldTable:
                 for month in sorted(months - held):
                     self._remove(f"month={month}")
         self._note(entry | {"done": True})
+        self._remove(f"_refresh/{name}/steps")
         if last.turn:
             self._remove(f"_refresh/{last.refresh}")
         return sorted(months)
@@ -120,10 +138,6 @@ class GoldTable:
         """Replace the months of ``rows``, which are all rows of these."""
         gold.by_month(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(self.path)
 
-    def _kept(self, rows: DataFrame, path: str) -> DataFrame:
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
-
     # --- log ------------------------------------------------------------------------------
 
     def _log(self) -> DataFrame:

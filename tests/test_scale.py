@@ -1,5 +1,6 @@
 """Plans whose shuffles and tasks must not outgrow the tables."""
 
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -126,3 +127,19 @@ def test_clean_merge_of_stocks_deals_rows_out_once(spark, tmp_path, no_broadcast
     assert sorted((days(r.valid_from), days(r.valid_to), r.active) for r in merged.collect()) == [
         (40, 80, False), (80, 120, False), (120, 150, False), (150, None, True)
     ]
+
+
+def _shuffle_files(spark) -> set[str]:
+    """Names of those with rows."""
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_") and name.endswith(".data")}
+
+
+def test_refresh_leaves_no_shuffle_files(spark, given):
+    before, setting = _shuffle_files(spark), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    gold = registry.gold_refreshed(given)
+    until = time.monotonic() + 20
+    while _shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.2)  # they are removed in the background
+    assert not _shuffle_files(spark) - before
+    assert gold.count() == 2 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
